@@ -2,31 +2,54 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from functools import reduce
+from operator import add
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # Cut points are kept as STEPS runs of STEPS, so a value finds its bucket in 2 * STEPS steps.
 STEPS = 16
+SALTS = 16
+
+
+def _count_below(cuts: str, indexes: list, value: Column) -> Column:
+    """How many of the given cut points lie below the value; a place past the end counts as none."""
+    return reduce(add, [
+        F.coalesce(F.get(cuts, i) < value, F.lit(False)).cast("int") for i in indexes])
 
 
-def _bucket(cuts, coarse, value):
-    """Number of cut points below the value."""
-    run = F.size(F.filter(coarse, lambda c: c < value))
-    fine = F.slice(cuts, run * STEPS + 1, STEPS)
-    return run * STEPS + F.size(F.filter(fine, lambda c: c < value))
+def _placed(counted: DataFrame, bounds: DataFrame, keys: list[str], few_groups: bool) -> DataFrame:
+    """Each counted value with its bucket and the number of values in its group."""
+    if few_groups:
+        joined = counted.join(F.broadcast(bounds), keys)
+    else:
+        # A group may hold much of the table: its values are dealt over SALTS tasks, and its one
+        # row of cut points goes to each of them.
+        joined = counted.withColumn("_salt", F.pmod(F.hash("_v"), F.lit(SALTS))).join(
+            bounds.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))),
+            [*keys, "_salt"]).drop("_salt")
+    coarse = [F.lit(STEPS * i - 1) for i in range(1, STEPS)]
+    located = joined.withColumn("_run", _count_below("_cuts", coarse, F.col("_v")))
+    fine = [F.col("_run") * STEPS + i for i in range(STEPS)]
+    return located.withColumn(
+        "_b", F.col("_run") * STEPS + _count_below("_cuts", fine, F.col("_v"))
+    ).drop("_cuts", "_run")
 
 
 def exact_quantiles(
     df: DataFrame, keys: list[str], value: str, probs: dict[str, float],
-    approximate: bool = False,
+    approximate: bool = False, few_groups: bool = True,
 ) -> DataFrame:
     """Quantiles by linear interpolation, one row per key group, one column per entry of ``probs``.
 
     ``F.percentile`` gathers every distinct value of a group in one buffer. Here equal values
     are first counted into one row each. Cut points from a bounded sketch then order those rows
     into buckets; they only steer the balance, every count stays exact. Bucket totals tell
-    which buckets hold the wanted ranks, and only those rows are ranked. ``approximate`` takes
-    the sketch's own answer in one pass.
+    which buckets hold the wanted ranks, and only those rows are ranked.
+
+    ``few_groups`` says that the groups are as few as the columns of a table, so that their cut
+    points may be broadcast. ``approximate`` takes the sketch's own answer in one pass.
     """
     values = df.where(F.col(value).isNotNull())
     if approximate:
@@ -43,17 +66,10 @@ def exact_quantiles(
     cut_probs = F.array(*[F.lit(i / size) for i in range(1, size)])
     bounds = counted.groupBy(*keys).agg(
         F.approx_percentile("_v", cut_probs, F.lit(4 * size)).alias("_cuts"),
-        F.sum("_n").alias("_total"),
-    ).withColumn("_coarse", F.array(*[
-        F.element_at("_cuts", STEPS * i) for i in range(1, STEPS)
-    ]))
-    placed = (
-        counted.join(bounds, keys)
-        .withColumn("_b", _bucket(F.col("_cuts"), F.col("_coarse"), F.col("_v")))
-        .drop("_cuts", "_coarse")
-    )
+        F.sum("_n").alias("_total"))
+    placed = _placed(counted, bounds, keys, few_groups)
 
-    def rank(p):
+    def rank(p: float) -> Column:
         return F.lit(float(p)) * (F.col("_total") - 1)
 
     wanted = F.array_distinct(F.flatten(F.array(*[
@@ -70,6 +86,8 @@ def exact_quantiles(
         .where(F.size("_ranks") > 0)
         .select(*keys, "_b", "_before", "_ranks")
     )
+    if few_groups:
+        targets = F.broadcast(targets)  # at most two buckets per group and probability
     upto = F.sum("_n").over(Window.partitionBy(*keys, "_b").orderBy("_v")) + F.col("_before")
     hits = (
         placed.join(targets, [*keys, "_b"])

@@ -118,7 +118,7 @@ def slice_metrics(
     )
     if median:
         mid = exact_quantiles(
-            member, SLICE_KEYS, "quality_score", {"quality_score_median": 0.5}, approximate)
+            member, SLICE_KEYS, "quality_score", {"quality_score_median": 0.5}, approximate, few_groups=False)
         out = out.join(mid, SLICE_KEYS, "left")
     return out
 

@@ -103,3 +103,13 @@ def first_available(spark: SparkSession, *candidates: str) -> DataFrame:
 def optional_json(spark: SparkSession, path, schema: T.StructType) -> DataFrame | None:
     """A JSON Lines report where one was written, else None."""
     return _exists(lambda: spark.read.schema(schema).json(path))
+
+
+def spread_small_scan(df: DataFrame) -> DataFrame:
+    """A table that comes in fewer splits than there are task slots, dealt out over the slots.
+
+    Heavy work per row would leave slots idle otherwise. A large table has splits enough and
+    is left as it is, so nothing of size is ever shuffled here.
+    """
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(slots) if df.rdd.getNumPartitions() < slots else df

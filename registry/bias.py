@@ -8,7 +8,7 @@ from qalathe.plans import bias as plan
 
 from . import working as W
 from .validate import _rounded
-from .working import given, qa_processed
+from .working import given, qa_processed, qa_stage
 
 # The smallest threshold at which the given data shows all kinds of factors.
 _LIMIT = 0.05
@@ -51,7 +51,7 @@ def membership_rows(spark, sf_dir):
 
 
 def slice_metrics(spark, sf_dir):
-    return _rounded(plan.slice_metrics(qa_processed(spark, sf_dir)))
+    return _rounded(plan.slice_metrics(qa_stage(spark, sf_dir)))
 
 
 def document_slice_metrics(spark, sf_dir):
@@ -59,15 +59,15 @@ def document_slice_metrics(spark, sf_dir):
 
 
 def overall(spark, sf_dir):
-    return _rounded(plan.overall_metrics(qa_processed(spark, sf_dir)))
+    return _rounded(plan.overall_metrics(qa_stage(spark, sf_dir)))
 
 
 def complexity_shares(spark, sf_dir):
-    return _rounded(plan.slice_shares(qa_processed(spark, sf_dir)))
+    return _rounded(plan.slice_shares(qa_stage(spark, sf_dir)))
 
 
 def _verdicts(spark, sf_dir, min_samples=None, threshold=None, **limits):
-    table = qa_processed(spark, sf_dir)
+    table = qa_stage(spark, sf_dir)
     return plan.bias_verdicts(
         plan.slice_metrics(table, min_samples, median=False), plan.overall_metrics(table, median=False),
         threshold, **limits)

@@ -8,7 +8,7 @@ from qalathe.plans import profile as plan
 
 from . import working as W
 from .validate import _rounded
-from .working import given, qa_base, qa_processed
+from .working import given, qa_base, qa_stage
 
 
 def _profiled(df, digits=6):
@@ -58,7 +58,7 @@ def _results(df):
 
 
 def declared_checks(spark, sf_dir):
-    table = qa_processed(spark, sf_dir)
+    table = qa_stage(spark, sf_dir)
     return _results(plan.check_expectations(table, plan.declared_expectations(), skip_absent=True))
 
 
@@ -75,7 +75,7 @@ def expectation_suite(spark, sf_dir):
 
 
 def expectation_metrics(spark, sf_dir):
-    table = qa_processed(spark, sf_dir)
+    table = qa_stage(spark, sf_dir)
     results = plan.check_expectations(table, plan.declared_expectations(), skip_absent=True)
     return plan.expectation_metrics(table, results)
 

@@ -10,22 +10,22 @@ from qalathe.plans.stages import run_summary
 
 from . import working as W
 from .validate import _rounded
-from .working import given, qa_base, qa_processed
+from .working import given, qa_base, qa_processed, qa_stage, stage_table
 
 
-def _urgent(spark, sf_dir):
+def _urgent(table):
     """Suggestions under limits that call the smallest slices under-represented."""
-    table = qa_processed(spark, sf_dir).select(
-        "quality_score", "answer_body", "question_type", "infra_components")
+    arrays = {"infra_components": "infra_"}
+    slices = bias.slice_metrics(table, 1, scalars=("question_type",), arrays=arrays, median=False)
     found = bias.bias_verdicts(
-        bias.slice_metrics(table, 1, median=False), bias.overall_metrics(table, median=False),
-        min_proportion=0.2, min_count=10_000_000)
+        slices, bias.overall_metrics(table, median=False), min_proportion=0.2, min_count=10_000_000)
     return bias.suggestions(found, high_priority_count=10_000_000)
 
 
 def _resampled(spark, sf_dir):
-    return plan.oversample(
-        qa_processed(spark, sf_dir), _urgent(spark, sf_dir), max_slices=12, small=10_000_000)
+    table = qa_stage(spark, sf_dir)
+    urgent = stage_table(spark, _urgent(table), "suggestions")
+    return plan.oversample(table, urgent, max_slices=30, small=5_000)
 
 
 def resampled_counts(spark, sf_dir):
@@ -35,7 +35,7 @@ def resampled_counts(spark, sf_dir):
 
 
 def weights(spark, sf_dir):
-    return _rounded(plan.quality_weights(qa_processed(spark, sf_dir)).select("question_id", "sample_weight"), 9)
+    return _rounded(plan.quality_weights(qa_stage(spark, sf_dir)).select("question_id", "sample_weight"), 9)
 
 
 def score_range(spark, sf_dir):
@@ -61,7 +61,7 @@ def stratified_split(spark, sf_dir):
 
 
 def _rows(spark, sf_dir):
-    return plan.training_rows(qa_processed(spark, sf_dir))
+    return plan.training_rows(qa_stage(spark, sf_dir))
 
 
 def chat_messages(spark, sf_dir):
@@ -109,8 +109,8 @@ def training_statistics(spark, sf_dir):
 
 
 def unmitigated_statistics(spark, sf_dir):
-    rows = plan.training_rows(
-        qa_processed(spark, sf_dir), _urgent(spark, sf_dir), apply_mitigation=False, test_ratio=0.1)
+    table = qa_stage(spark, sf_dir)
+    rows = plan.training_rows(table, _urgent(table), apply_mitigation=False, test_ratio=0.1)
     return plan.training_statistics(rows)
 
 
@@ -119,7 +119,7 @@ def train_tags(spark, sf_dir):
 
 
 def summary(spark, sf_dir):
-    table = qa_processed(spark, sf_dir)
+    table = qa_stage(spark, sf_dir)
     return run_summary(qa_base(spark, sf_dir), table, plan.chat_examples(table))
 
 
@@ -159,7 +159,7 @@ def _split(table: str, key: str, train: str, partition: str = "") -> str:
 _SPLIT_QA = ("split_qa AS (SELECT *, round(" + _WEIGHT + ", 9) AS sample_weight FROM ("
              + _split("qa", "question_id || ':0'", "1 - 0.2") + "))")
 
-# Every scalar slice comes first and takes a place of the twelve; then array slices by value.
+# Scalar slices come first and take up places; then array slices by value. Large ones are left out.
 _RESAMPLED = f"""
 mem AS (SELECT dimension, value, count(*) AS n FROM (
   SELECT 'question_type' AS dimension, question_type AS value, 1 AS ord FROM qa
@@ -168,11 +168,12 @@ mem AS (SELECT dimension, value, count(*) AS n FROM (
 urgent AS (SELECT *, row_number() OVER (ORDER BY CASE dimension WHEN 'question_type' THEN 1 ELSE 5 END, value) AS r
   FROM mem WHERE n / (SELECT count(*) FROM qa) < 0.2 AND n < 10000000),
 chosen AS (SELECT *, row_number() OVER (ORDER BY value) AS place FROM urgent
-  WHERE r <= 12 AND dimension = 'infra_components'),
+  WHERE r <= 30 AND dimension = 'infra_components'),
 member AS (SELECT place, n, question_id, row_number() OVER (PARTITION BY place
     ORDER BY md5('42:' || question_id), question_id) AS idx
-  FROM (SELECT question_id, unnest(list_distinct(infra_components)) AS value FROM qa) JOIN chosen USING (value)),
-draws AS (SELECT place, n, unnest(range(1, least(n * 2, 100) + 1)) AS draw FROM chosen),
+  FROM (SELECT question_id, unnest(list_distinct(infra_components)) AS value FROM qa) JOIN chosen USING (value)
+  WHERE n < 5000),
+draws AS (SELECT place, n, unnest(range(1, least(n * 2, 100) + 1)) AS draw FROM chosen WHERE n < 5000),
 drawn AS (SELECT d.place, d.draw, question_id FROM (
     SELECT *, CAST('0x' || substr(md5('42:' || place || ':' || draw), 1, 8) AS BIGINT) % n + 1 AS idx FROM draws) d
   JOIN member m ON d.place = m.place AND d.idx = m.idx),

@@ -9,7 +9,7 @@ from qalathe.plans import validate as plan
 from qalathe.plans.checks import verdict
 
 from . import working as W
-from .working import given, qa_base, qa_processed
+from .working import given, qa_base, qa_processed, qa_stage
 
 _NUMBERS = ("score", "answer_score", "view_count", "quality_score")
 
@@ -31,7 +31,7 @@ def _turns_as_questions(spark, sf_dir):
 
 
 def validation_checks(spark, sf_dir):
-    return _checks(plan.validation_checks(qa_processed(spark, sf_dir)))
+    return _checks(plan.validation_checks(qa_stage(spark, sf_dir)))
 
 
 def failing_checks(spark, sf_dir):
@@ -72,12 +72,12 @@ def keep_first_flags(spark, sf_dir):
 
 
 def text_lengths(spark, sf_dir):
-    return _rounded(plan.describe_texts(qa_processed(spark, sf_dir), median=True))
+    return _rounded(plan.describe_texts(qa_stage(spark, sf_dir), median=True))
 
 
 def score_description(spark, sf_dir):
     return _rounded(plan.describe_numbers(
-        qa_processed(spark, sf_dir).select(*_NUMBERS), ("score", "quality_score")))
+        qa_stage(spark, sf_dir).select(*_NUMBERS), ("score", "quality_score")))
 
 
 def numeric_description(spark, sf_dir):
@@ -121,7 +121,7 @@ def price_outliers(spark, sf_dir):
 
 
 def anomaly_rows(spark, sf_dir):
-    return _rounded(plan.anomalies(qa_processed(spark, sf_dir), factor=0.5))
+    return _rounded(plan.anomalies(qa_stage(spark, sf_dir), factor=0.5))
 
 
 def event_anomalies(spark, sf_dir):
@@ -140,12 +140,12 @@ def check_verdict(spark, sf_dir):
 
 
 def run_metrics(spark, sf_dir):
-    table = qa_processed(spark, sf_dir)
+    table = qa_stage(spark, sf_dir)
     return plan.validation_metrics(table, plan.validation_checks(table))
 
 
 def gate_open(spark, sf_dir):
-    table = qa_processed(spark, sf_dir)
+    table = qa_stage(spark, sf_dir)
     return plan.gated(table, plan.quality_checks(table)).select("question_id", "quality_score")
 
 

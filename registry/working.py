@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from qalathe.plans.preprocess import preprocess
+from qalathe.session import fresh_path
+from qalathe.sources import spread_small_scan, write_table
 
 RUN_TIME = datetime.datetime(2024, 1, 1)
 
@@ -64,7 +66,7 @@ def given(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def over_documents(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
     return spark.sql(sql.replace("FROM documents", "FROM {documents}"),
-                     documents=given(spark, sf_dir, "documents"))
+                     documents=spread_small_scan(given(spark, sf_dir, "documents")))
 
 
 def qa_base(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -76,6 +78,21 @@ def qa_processed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return preprocess(qa_base(spark, sf_dir), processed_at=RUN_TIME)
 
 
+def stage_table(spark: SparkSession, df: DataFrame, label: str) -> DataFrame:
+    """The table as the next stage meets it: written to the shared folder and read back.
+
+    Queries that go over a table more than once start from its stage table, so the texts are
+    cleaned once and a lost executor repeats a scan, not the stage before.
+    """
+    path = fresh_path(spark, label)
+    write_table(df, path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def qa_stage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stage_table(spark, qa_processed(spark, sf_dir), "processed")
+
+
 # --- the same tables for the checking engine ------------------------------------------
 
 def _clean(c: str) -> str:

@@ -44,35 +44,39 @@ def read_answers_csv(spark: SparkSession, path) -> DataFrame:
     return _csv_by_header(spark, path, S.ANSWER_CSV_COLUMNS)
 
 
-def read_json_array(spark: SparkSession, path, schema: T.StructType) -> DataFrame:
-    """Files that each hold one JSON array of records, read with a given schema."""
-    return spark.read.schema(schema).json(path, multiLine=True)
+def read_json_array(spark: SparkSession, path, schema: T.StructType, lines: bool = False) -> DataFrame:
+    """Files that each hold one JSON array of records, read with a given schema.
+
+    A file that is one document is one split. With ``lines`` each line is such an array, and
+    large files split.
+    """
+    return spark.read.schema(schema).json(path, multiLine=not lines)
 
 
-def landed_questions(spark: SparkSession, path, tags=D.TAGS) -> DataFrame:
+def landed_questions(spark: SparkSession, path, tags=D.TAGS, lines: bool = False) -> DataFrame:
     """Question items of landed responses with the place each was met in.
 
-    Pages come in the order of ``tags``; pages of other or no tag follow in file order.
+    A response is one file, or with ``lines`` one line. Pages come in the order of ``tags``; pages of other or no tag follow in file order.
     """
-    pages = spark.read.schema(S.LANDED_QUESTIONS).json(path, multiLine=True)
+    pages = spark.read.schema(S.LANDED_QUESTIONS).json(path, multiLine=not lines)
     order = F.array(*[F.lit(t) for t in tags]) if tags else F.array().cast("array<string>")
     rank = F.array_position(order, F.coalesce("tag", F.lit("")))
     page = F.when(rank > 0, rank).otherwise(F.lit(len(tags) + 1).cast("long"))
     items = pages.select(
         page.alias("page"), F.col("_metadata.file_path").alias("file"),
-        F.posexplode("items").alias("item", "record"),
+        F.monotonically_increasing_id().alias("line"), F.posexplode("items").alias("item", "record"),
     )
-    return items.select("record.*", F.struct("page", "file", "item").alias(POSITION))
+    return items.select("record.*", F.struct("page", "file", "line", "item").alias(POSITION))
 
 
-def landed_answers(spark: SparkSession, path) -> DataFrame:
+def landed_answers(spark: SparkSession, path, lines: bool = False) -> DataFrame:
     """Answer items of landed responses with the place each was met in."""
-    batches = spark.read.schema(S.LANDED_ANSWERS).json(path, multiLine=True)
+    batches = spark.read.schema(S.LANDED_ANSWERS).json(path, multiLine=not lines)
     items = batches.select(
         "batch", F.col("_metadata.file_path").alias("file"),
-        F.posexplode("items").alias("item", "record"),
+        F.monotonically_increasing_id().alias("line"), F.posexplode("items").alias("item", "record"),
     )
-    return items.select("record.*", F.struct("batch", "file", "item").alias(POSITION))
+    return items.select("record.*", F.struct("batch", "file", "line", "item").alias(POSITION))
 
 
 def _exists(open_table):

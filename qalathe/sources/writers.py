@@ -33,4 +33,7 @@ def flat_for_csv(df: DataFrame) -> DataFrame:
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    flat_for_csv(df).write.mode("overwrite").csv(path, header=True, quote='"', escape='"')
+    """Header, doubled quotes, and white space kept as it is."""
+    flat_for_csv(df).write.mode("overwrite").csv(
+        path, header=True, quote='"', escape='"',
+        ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)

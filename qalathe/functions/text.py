@@ -29,7 +29,7 @@ def squeeze(c) -> Column:
 def is_blank(c) -> Column:
     """True where the text holds nothing but white space; null stays null."""
     c = F.col(c) if isinstance(c, str) else c
-    return F.trim(F.regexp_replace(c, _SPACE, " ")) == ""
+    return ~c.rlike(f"(?U)[^{_WS}]")
 
 
 def code_blocks(c) -> Column:

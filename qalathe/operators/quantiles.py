@@ -2,21 +2,20 @@
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import add
-
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 # Cut points are kept as STEPS runs of STEPS, so a value finds its bucket in 2 * STEPS steps.
 STEPS = 16
+BUCKETS = STEPS * STEPS
 SALTS = 16
 
+_CUT_PROBS = ", ".join(f"{i / BUCKETS}D" for i in range(1, BUCKETS))
+
 
-def _count_below(cuts: str, indexes: list, value: Column) -> Column:
+def _count_below(places) -> str:
     """How many of the given cut points lie below the value; a place past the end counts as none."""
-    return reduce(add, [
-        F.coalesce(F.get(cuts, i) < value, F.lit(False)).cast("int") for i in indexes])
+    return " + ".join(f"int(coalesce(get(_cuts, {p}) < _v, false))" for p in places)
 
 
 def _placed(counted: DataFrame, bounds: DataFrame, keys: list[str], few_groups: bool) -> DataFrame:
@@ -26,15 +25,13 @@ def _placed(counted: DataFrame, bounds: DataFrame, keys: list[str], few_groups:
     else:
         # A group may hold much of the table: its values are dealt over SALTS tasks, and its one
         # row of cut points goes to each of them.
-        joined = counted.withColumn("_salt", F.pmod(F.hash("_v"), F.lit(SALTS))).join(
-            bounds.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))),
-            [*keys, "_salt"]).drop("_salt")
-    coarse = [F.lit(STEPS * i - 1) for i in range(1, STEPS)]
-    located = joined.withColumn("_run", _count_below("_cuts", coarse, F.col("_v")))
-    fine = [F.col("_run") * STEPS + i for i in range(STEPS)]
-    return located.withColumn(
-        "_b", F.col("_run") * STEPS + _count_below("_cuts", fine, F.col("_v"))
-    ).drop("_cuts", "_run")
+        joined = counted.withColumn("_salt", F.expr(f"pmod(hash(_v), {SALTS})")).join(
+            bounds.withColumn("_salt", F.expr(f"explode(sequence(0, {SALTS - 1}))")),
+            [*keys, "_salt"])
+    run = _count_below(STEPS * i - 1 for i in range(1, STEPS))
+    bucket = f"_run * {STEPS} + " + _count_below(f"_run * {STEPS} + {i}" for i in range(STEPS))
+    return joined.withColumn("_run", F.expr(run)).select(
+        *keys, "_v", "_n", "_total", F.expr(bucket).alias("_b"))
 
 
 def exact_quantiles(
@@ -51,58 +48,37 @@ def exact_quantiles(
     ``few_groups`` says that the groups are as few as the columns of a table, so that their cut
     points may be broadcast. ``approximate`` takes the sketch's own answer in one pass.
     """
-    values = df.where(F.col(value).isNotNull())
+    values = df.select(*keys, F.col(value).cast("double").alias("_v")).where("_v IS NOT NULL")
     if approximate:
         return values.groupBy(*keys).agg(*[
-            F.approx_percentile(F.col(value).cast("double"), F.lit(p)).alias(name)
-            for name, p in probs.items()
+            F.approx_percentile("_v", F.lit(p)).alias(name) for name, p in probs.items()
         ])
 
-    counted = (
-        values.groupBy(*keys, F.col(value).cast("double").alias("_v"))
-        .agg(F.count(F.lit(1)).alias("_n"))
-    )
-    size = STEPS * STEPS
-    cut_probs = F.array(*[F.lit(i / size) for i in range(1, size)])
+    counted = values.groupBy(*keys, "_v").agg(F.expr("count(1) AS _n"))
     bounds = counted.groupBy(*keys).agg(
-        F.approx_percentile("_v", cut_probs, F.lit(4 * size)).alias("_cuts"),
-        F.sum("_n").alias("_total"))
+        F.expr(f"approx_percentile(_v, array({_CUT_PROBS}), {4 * BUCKETS}) AS _cuts"),
+        F.expr("sum(_n) AS _total"))
     placed = _placed(counted, bounds, keys, few_groups)
 
-    def rank(p: float) -> Column:
-        return F.lit(float(p)) * (F.col("_total") - 1)
-
-    wanted = F.array_distinct(F.flatten(F.array(*[
-        F.array(F.floor(rank(p)), F.ceil(rank(p))) for p in probs.values()
-    ])))
-    # At most STEPS * STEPS rows per key group from here to the join.
-    totals = placed.groupBy(*keys, "_b").agg(
-        F.sum("_n").alias("_bn"), F.max("_total").alias("_total"))
+    ranks = {name: f"({float(p)}D * (_total - 1))" for name, p in probs.items()}
+    wanted = ", ".join(f"floor({r}), ceil({r})" for r in ranks.values())
+    # At most BUCKETS rows per key group from here to the join.
+    totals = placed.groupBy(*keys, "_b").agg(F.expr("sum(_n) AS _bn"), F.expr("max(_total) AS _total"))
     running = F.sum("_bn").over(Window.partitionBy(*keys).orderBy("_b"))
-    targets = (
-        totals.withColumn("_before", running - F.col("_bn"))
-        .withColumn("_ranks", F.filter(
-            wanted, lambda k: (k >= F.col("_before")) & (k < F.col("_before") + F.col("_bn"))))
-        .where(F.size("_ranks") > 0)
-        .select(*keys, "_b", "_before", "_ranks")
-    )
+    targets = totals.withColumn("_upto", running).select(
+        *keys, "_b", F.expr("_upto - _bn AS _before"),
+        F.expr(f"filter(array_distinct(array({wanted})), k -> k >= _upto - _bn AND k < _upto) AS _ranks"),
+    ).where("size(_ranks) > 0")
     if few_groups:
         targets = F.broadcast(targets)  # at most two buckets per group and probability
-    upto = F.sum("_n").over(Window.partitionBy(*keys, "_b").orderBy("_v")) + F.col("_before")
-    hits = (
-        placed.join(targets, [*keys, "_b"])
-        .withColumn("_upto", upto)
-        .withColumn("_k", F.explode(F.filter(
-            "_ranks", lambda k: (k < F.col("_upto")) & (k >= F.col("_upto") - F.col("_n")))))
-    )
+    running = F.sum("_n").over(Window.partitionBy(*keys, "_b").orderBy("_v"))
+    hits = placed.join(targets, [*keys, "_b"]).withColumn("_upto", running + F.col("_before")).select(
+        *keys, "_v", "_total",
+        F.expr("explode(filter(_ranks, k -> k < _upto AND k >= _upto - _n)) AS _k"))
     # At most two entries per probability and key group.
     found = hits.groupBy(*keys).agg(
-        F.map_from_entries(F.collect_list(F.struct("_k", "_v"))).alias("_at"),
-        F.max("_total").alias("_total"),
-    )
-    out = []
-    for name, p in probs.items():
-        low = F.element_at("_at", F.floor(rank(p)))
-        high = F.element_at("_at", F.ceil(rank(p)))
-        out.append((low + (high - low) * (rank(p) - F.floor(rank(p)))).alias(name))
-    return found.select(*keys, *out)
+        F.expr("map_from_entries(collect_list(struct(_k, _v))) AS _at"), F.expr("max(_total) AS _total"))
+    return found.select(*keys, *[
+        F.expr(f"_at[floor({r})] + (_at[ceil({r})] - _at[floor({r})]) * ({r} - floor({r})) AS `{name}`")
+        for name, r in ranks.items()
+    ])

@@ -15,6 +15,9 @@ def local_session(cpus: str = "8", app: str = "qalathe") -> SparkSession:
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
+        # Call sites of every column expression are looked up otherwise, which on small tables
+        # takes longer than the work itself.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.driver.memory", "12g")
         .getOrCreate()
     )

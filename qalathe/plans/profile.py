@@ -35,7 +35,7 @@ def _number(c: str) -> Column:
 def _short_key(value: Column) -> Column:
     """A text stands for itself when short and for its digest when long, so that counting
     distinct texts does not shuffle the texts."""
-    digest = F.concat(F.lit("sha256:"), F.sha2(value, 256))
+    digest = F.concat(F.lit("sha256:"), F.base64(F.unhex(F.sha2(value, 256))))
     return F.when(F.octet_length(value) > 64, digest).otherwise(value)
 
 
@@ -133,7 +133,7 @@ def common_texts(df: DataFrame, k: int = 5, few: int = FEW_VALUES) -> DataFrame:
 def dataset_info(df: DataFrame) -> DataFrame:
     """One row: rows, columns and copies of whole rows. Rows are compared by digest, which also
     works for nested columns."""
-    whole = F.sha2(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns])), 256)
+    whole = F.unhex(F.sha2(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns])), 256))
     summary = duplicate_summary(df.select(whole.alias("_row")), "_row")
     return summary.select(
         F.col("total_rows").alias("row_count"),

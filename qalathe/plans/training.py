@@ -13,6 +13,7 @@ from .bias import ARRAY_DIMENSIONS, SCALAR_DIMENSIONS, dimension_order
 # Hex digits of the shuffle key that name a bucket: 65,536 buckets, at most that many totals.
 BUCKET_DIGITS = 4
 MAX_STRATA = 100_000
+SALTS = 64
 
 
 # --- oversampling ---------------------------------------------------------------------
@@ -100,7 +101,13 @@ def train_test_split(
     The shuffle order is the digest of seed and key, rows of one key in reading order. Only the
     digest at the cut is needed, so no row is moved: bucket totals tell where the cut falls,
     the digests of that bucket are ranked, and one digest per stratum is handed to all tasks.
+    Above MAX_STRATA strata the cuts are joined by shuffle instead, large strata salted.
     """
+    few = stratify_by is None or _few_strata(df, stratify_by)
+
+    def per_stratum(cuts: DataFrame) -> DataFrame:
+        return F.broadcast(cuts) if few else cuts  # one row per stratum
+
     parts = [F.col(c).cast("string") for c in ([key] if isinstance(key, str) else key) if c in df.columns]
     marked = df.withColumns({
         "_key": F.md5(F.concat_ws(":", F.lit(str(seed)), *parts)),
@@ -124,7 +131,7 @@ def train_test_split(
         .select("_stratum", "_bucket", (F.col("_train") - F.col("_upto") + F.col("_n")).alias("_want"))
     )
     # Level 2, the digests of one bucket, copies already counted into one row: the digest of the cut.
-    in_bucket = keys.join(cut_bucket, ["_stratum", "_bucket"]).groupBy(
+    in_bucket = keys.join(per_stratum(cut_bucket), ["_stratum", "_bucket"]).groupBy(
         "_stratum", "_bucket", "_key", "_want").agg(F.count(F.lit(1)).alias("_n"))
     cut = (
         in_bucket.withColumn("_upto", reached("_n", "_stratum", "_bucket", order="_key"))
@@ -134,7 +141,7 @@ def train_test_split(
     )
     # Level 3, only where copies of one key lie on both sides: the reading partition, then the row.
     torn = cut.where(F.col("_want") < F.col("_n")).select("_stratum", F.col("_cut_key").alias("_key"), "_want")
-    copies = keys.join(torn, ["_stratum", "_key"]).withColumn("_part", F.shiftright("_row", 33))
+    copies = keys.join(per_stratum(torn), ["_stratum", "_key"]).withColumn("_part", F.shiftright("_row", 33))
     cut_part = (
         copies.groupBy("_stratum", "_part", "_want").agg(F.count(F.lit(1)).alias("_n"))
         .withColumn("_upto", reached("_n", "_stratum", order="_part"))
@@ -142,20 +149,23 @@ def train_test_split(
         .select("_stratum", "_part", (F.col("_want") - F.col("_upto") + F.col("_n")).alias("_rank"))
     )
     cut_row = (
-        copies.join(cut_part, ["_stratum", "_part"])
+        copies.join(per_stratum(cut_part), ["_stratum", "_part"])
         .withColumn("_nth", F.row_number().over(Window.partitionBy("_stratum", "_part").orderBy("_row")))
         .where(F.col("_nth") == F.col("_rank")).select("_stratum", F.col("_row").alias("_cut_row"))
     )
-    cuts = cut.join(cut_row, "_stratum", "left").select("_stratum", "_cut_key", "_cut_row")
-    if stratify_by is None or _few_strata(df, stratify_by):
-        cuts = F.broadcast(cuts)  # one row per stratum
+    cuts = cut.join(per_stratum(cut_row), "_stratum", "left").select("_stratum", "_cut_key", "_cut_row")
+    on = ["_stratum"]
+    if not few:
+        on = ["_stratum", "_salt"]
+        marked = marked.withColumn("_salt", F.pmod(F.spark_partition_id(), F.lit(SALTS)))
+        cuts = cuts.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     before = F.col("_key") < F.col("_cut_key")
     at_cut = (F.col("_key") == F.col("_cut_key")) & (
         F.col("_cut_row").isNull() | (F.col("_row") <= F.col("_cut_row")))
     return (
-        marked.join(cuts, "_stratum", "left")
+        marked.join(per_stratum(cuts), on, "left")
         .withColumn("split", F.when(before | at_cut, "train").otherwise("test"))
-        .drop("_key", "_row", "_stratum", "_cut_key", "_cut_row")
+        .drop("_key", "_row", "_stratum", "_salt", "_cut_key", "_cut_row")
     )
 
 

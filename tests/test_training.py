@@ -102,3 +102,15 @@ def test_options_and_statistics(spark):
     assert T.train_tag_frequency(T.training_rows(df), 1).head().value == "x"
     with pytest.raises(ValueError):
         T.training_examples(df, "table")
+
+
+def test_split_over_many_strata(spark, monkeypatch):
+    monkeypatch.setattr(T, "MAX_STRATA", 10)
+    df = spark.range(0, 3000, numPartitions=4).selectExpr("id AS question_id", "IF(id % 3 = 0, 0, id % 60) AS s")
+    got = {(r.s, r.split): r["count"] for r in T.train_test_split(df, 0.25, stratify_by="s").groupBy("s", "split").count().collect()}
+    sizes = {}
+    for i in range(3000):
+        s = 0 if i % 3 == 0 else i % 60
+        sizes[s] = sizes.get(s, 0) + 1
+    for s, n in sizes.items():
+        assert got[(s, "train")] == int(n * 0.75) and got.get((s, "test"), 0) == n - int(n * 0.75)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from .. import defaults as D
 from ..functions import clean_html, int_or_zero, strict_int, tag_list
-from ..operators import first_per_key, last_per_key, unique_lookup_join
+from ..operators import beside, first_per_key, last_per_key, unique_lookup_join
 from ..operators.lookup import HOT_ROWS
 
 
@@ -94,4 +94,4 @@ def acquisition_counts(questions: DataFrame, pairs: DataFrame) -> DataFrame:
     """One row: questions loaded and pairs matched."""
     loaded = questions.agg(F.count(F.lit(1)).alias("questions_loaded"))
     matched = pairs.agg(F.count(F.lit(1)).alias("answers_matched"))
-    return loaded.crossJoin(F.broadcast(matched))
+    return beside(loaded, matched)

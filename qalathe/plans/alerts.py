@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import defaults as D
+from ..operators import beside
 from .bias import bias_summary, dimension_order
 from .checks import verdict
 
@@ -36,7 +37,7 @@ def validation_alert(checks: DataFrame, at) -> DataFrame:
     """One error when the table is not valid, none otherwise."""
     names = _first_names(checks.where(F.col("status") == "fail"),
                          [F.col("ordinal"), F.coalesce("column", F.lit(""))], "check")
-    row = verdict(checks).crossJoin(F.broadcast(names)).where(~F.col("is_valid"))
+    row = beside(verdict(checks), names).where(~F.col("is_valid"))
     n = F.col("failed_count")
     return _alert(
         row, at, "validation_failure", F.lit("error"), "Data Validation Failed",
@@ -49,7 +50,7 @@ def anomaly_alert(anomalies: DataFrame, at) -> DataFrame:
     counts = anomalies.groupBy("type").agg(F.count(F.lit(1)).alias("n"))
     total = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"))
     names = _first_names(counts, [F.col("type")], "type")
-    row = total.crossJoin(F.broadcast(names)).where(F.col("n") > 0)
+    row = beside(total, names).where(F.col("n") > 0)
     types = F.when(F.col("_names") == "", "unknown").otherwise(F.col("_names"))
     return _alert(
         row, at, "anomaly_detected", F.lit("warning"), "Data Anomalies Detected",
@@ -60,7 +61,7 @@ def anomaly_alert(anomalies: DataFrame, at) -> DataFrame:
 def bias_alert(verdicts: DataFrame, at) -> DataFrame:
     """One alert when a slice is biased: an error if one is so to a high degree, else a warning."""
     names = _first_names(verdicts.where("is_biased"), [dimension_order(), F.col("value")], "slice")
-    row = bias_summary(verdicts).crossJoin(F.broadcast(names)).where(F.col("biased_slices") > 0)
+    row = beside(bias_summary(verdicts), names).where(F.col("biased_slices") > 0)
     counts = {s: F.col(f"{s}_severity_count") for s in ("high", "medium", "low")}
     return _alert(
         row, at, "bias_detected", F.when(counts["high"] > 0, "error").otherwise("warning"),

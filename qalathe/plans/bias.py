@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from .. import defaults as D
 from ..functions import python_round
-from ..operators import exact_quantiles
+from ..operators import beside, exact_quantiles
 
 SCALAR_DIMENSIONS = ("question_type", "complexity")
 ARRAY_DIMENSIONS = {"tags": "tag_", "error_signatures": "error_", "infra_components": "infra_"}
@@ -94,7 +94,7 @@ def overall_metrics(df: DataFrame, median: bool = True) -> DataFrame:
     if median:
         mid = exact_quantiles(
             narrow.withColumn("_all", F.lit(1)), ["_all"], "quality_score", {"m": 0.5})
-        row = row.crossJoin(F.broadcast(mid.agg(F.max("m").alias("quality_score_median"))))
+        row = beside(row, mid.agg(F.max("m").alias("quality_score_median")))
     return row
 
 
@@ -110,9 +110,9 @@ def slice_metrics(
     least = D.SLICE_MIN_SAMPLES if min_samples is None else min_samples
     member = memberships(_lengths(df), scalars, arrays, keep=_MEASURED)
     total = df.agg(F.count(F.lit(1)).alias("_total"))
+    measured = member.groupBy(*SLICE_KEYS).agg(*_moments()).where(F.col("count") >= least)
     out = (
-        member.groupBy(*SLICE_KEYS).agg(*_moments()).where(F.col("count") >= least)
-        .crossJoin(F.broadcast(total))
+        beside(measured, total)
         .withColumn("proportion", F.col("count") / F.col("_total")).drop("_total")
         .withColumn("slice", slice_name(arrays))
     )
@@ -189,8 +189,7 @@ def bias_verdicts(
         F.coalesce(F.col("_f2.difference_ratio"), F.lit(0.0)))
     factors = F.size("bias_factors")
     return (
-        # The overall side is one row.
-        metrics.crossJoin(F.broadcast(reference))
+        beside(metrics, reference)
         .withColumns({"_f1": quality, "_f2": length, "_f3": rare})
         .withColumn("bias_factors", F.array_compact(F.array("_f1", "_f2", "_f3")))
         .withColumn("is_biased", factors > 0)
@@ -264,4 +263,4 @@ def bias_report(df: DataFrame, min_samples: int | None = None, threshold: float
 def bias_run_metrics(verdicts: DataFrame) -> DataFrame:
     """One row: the summary and the number of suggestions."""
     n = suggestions(verdicts).agg(F.count(F.lit(1)).alias("mitigation_suggestions_count"))
-    return bias_summary(verdicts).crossJoin(F.broadcast(n))
+    return beside(bias_summary(verdicts), n)

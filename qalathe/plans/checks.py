@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import schemas as S
-from ..operators import literal_rows
+from ..operators import beside, literal_rows
 
 
 @dataclass
@@ -50,8 +50,7 @@ def measured(df: DataFrame, suites: list[Suite]) -> DataFrame:
         sides += suite.sides
     total = {"total_rows": F.count(F.lit(1))}
     row = df.agg(*[c.alias(name) for name, c in {**total, **measures}.items()])
-    # Each side is one row, so is the broadcast.
-    return reduce(lambda acc, side: acc.crossJoin(F.broadcast(side)), sides, row)
+    return reduce(beside, sides, row)
 
 
 def run_suites(df: DataFrame, suites: list[Suite]) -> DataFrame:

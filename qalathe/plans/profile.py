@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import defaults as D
-from ..operators import duplicate_summary, exact_quantiles
+from ..operators import beside, duplicate_summary, exact_quantiles
 from .checks import share
 from .validate import _long
 
@@ -260,7 +260,7 @@ def check_expectations(
         ))
     one = df.agg(*[m.alias(n) for n, m in measures.items()])
     for side in sides.values():
-        one = one.crossJoin(F.broadcast(side))
+        one = beside(one, side)
     return one.select(F.inline(F.array(*rows)))
 
 
@@ -271,5 +271,5 @@ def expectation_metrics(df: DataFrame, results: DataFrame) -> DataFrame:
         (F.count_if(failed & (F.col("severity") == "error")) == 0).alias("schema_valid"),
         F.count_if(~failed).alias("checks_passed"), F.count_if(failed).alias("checks_failed"))
     size = df.agg(F.count(F.lit(1)).alias("row_count"))
-    return counts.crossJoin(F.broadcast(size)).withColumn(
+    return beside(counts, size).withColumn(
         "column_count", F.lit(len(df.columns)).cast("long"))

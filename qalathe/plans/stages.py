@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import defaults as D
+from ..operators import beside
 from ..sources import first_available, write_csv, write_json, write_jsonl, write_table
 from . import acquire, alerts, bias, preprocess, profile, training, validate
 
@@ -15,11 +16,8 @@ def run_summary(pairs: DataFrame, processed: DataFrame, examples: DataFrame) ->
     def count(df: DataFrame, name: str) -> DataFrame:
         return df.agg(F.count(F.lit(1)).alias(name))
 
-    return (
-        count(pairs, "records_acquired")
-        .crossJoin(F.broadcast(count(processed, "records_processed")))
-        .crossJoin(F.broadcast(count(examples, "training_examples")))
-    )
+    first = beside(count(pairs, "records_acquired"), count(processed, "records_processed"))
+    return beside(first, count(examples, "training_examples"))
 
 
 def run_stages(

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from .. import defaults as D
 from ..functions import comma_joined
-from ..operators import most_frequent
+from ..operators import beside, most_frequent
 from .bias import ARRAY_DIMENSIONS, SCALAR_DIMENSIONS, dimension_order
 
 # Hex digits of the shuffle key that name a bucket: 65,536 buckets, at most that many totals.
@@ -48,7 +48,7 @@ def oversample(
     original = df.withColumn("copy", F.lit(0).cast("long"))
     if not arrays:
         return original
-    picks = F.broadcast(_chosen_slices(suggestions, arrays, scalars, max_slices))
+    picks = _chosen_slices(suggestions, arrays, scalars, max_slices)
 
     def holds(pick: Column) -> Column:
         hit = F.lit(False)
@@ -58,7 +58,7 @@ def oversample(
         return hit
 
     member = (
-        df.crossJoin(picks).withColumn("_in", F.filter("_picks", holds)).where(F.size("_in") > 0)
+        beside(df, picks).withColumn("_in", F.filter("_picks", holds)).where(F.size("_in") > 0)
         .withColumn("_pick", F.explode("_in"))
         .withColumn("_place", F.array_position("_picks", F.col("_pick")))
         .drop("_picks", "_in", "_pick")
@@ -86,8 +86,7 @@ def quality_weights(df: DataFrame, score: str = "quality_score") -> DataFrame:
     span = df.agg(F.min(score).alias("_low"), F.max(score).alias("_high"))
     width = F.col("_high") - F.col("_low")
     weight = F.when(width > 0, F.lit(0.5) + (F.col(score) - F.col("_low")) / width).otherwise(F.lit(1.0))
-    # The range is one row.
-    return df.crossJoin(F.broadcast(span)).withColumn("sample_weight", weight).drop("_low", "_high")
+    return beside(df, span).withColumn("sample_weight", weight).drop("_low", "_high")
 
 
 # --- split ----------------------------------------------------------------------------

@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from .. import defaults as D
 from ..functions import has_leftover_tags, is_blank
-from ..operators import duplicate_summary, exact_quantiles, most_frequent, value_counts
+from ..operators import beside, duplicate_summary, exact_quantiles, most_frequent, value_counts
 from ..sources import write_table
 from .checks import Suite, check_row, percent, run_suites, share, verdict
 
@@ -221,7 +221,7 @@ def _with_bounds(df: DataFrame, columns, factor: float):
         F.max(F.when(F.col("column") == c, F.col(side))).alias(f"_{side}_{c}")
         for c in columns for side in ("lower_bound", "upper_bound")
     ])
-    return df.crossJoin(F.broadcast(wide))
+    return beside(df, wide)
 
 
 def _outside(c: str) -> Column:
@@ -320,7 +320,7 @@ def validation_metrics(df: DataFrame, checks: DataFrame) -> DataFrame:
     duplicates = duplicate_summary(df.select("question_id"), "question_id").select(
         F.col("total_rows").alias("total_records"), F.col("duplicates").alias("duplicate_count"))
     found = outlier_counts(df).select(F.col("total_anomalies").alias("anomaly_count"))
-    row = verdict(checks).crossJoin(F.broadcast(duplicates)).crossJoin(F.broadcast(found))
+    row = beside(beside(verdict(checks), duplicates), found)
     return row.select(
         "is_valid", F.col("passed_count").alias("passed_checks"),
         F.col("failed_count").alias("failed_checks"), F.col("warning_count").alias("warning_checks"),
@@ -328,9 +328,8 @@ def validation_metrics(df: DataFrame, checks: DataFrame) -> DataFrame:
 
 
 def gated(df: DataFrame, checks: DataFrame) -> DataFrame:
-    """All rows when the checks hold, none otherwise; the verdict is one broadcast row."""
-    ok = verdict(checks).select("is_valid")
-    return df.crossJoin(F.broadcast(ok)).where("is_valid").drop("is_valid")
+    """All rows when the checks hold, none otherwise; the verdict is one scalar subquery."""
+    return df.where(verdict(checks).select("is_valid").scalar())
 
 
 def promote(df: DataFrame, checks: DataFrame, path: str) -> bool:

@@ -10,7 +10,7 @@ from qalathe.operators import best_first
 from qalathe.plans import preprocess as plan
 
 from . import working as W
-from .working import given, qa_base, qa_processed
+from .working import given, given_wide, qa_base, qa_processed
 
 
 def _joined(c: str):
@@ -57,7 +57,7 @@ def feature_statistics(spark, sf_dir):
 
 
 def squeezed_text(spark, sf_dir):
-    docs = given(spark, sf_dir, "documents")
+    docs = given_wide(spark, sf_dir, "documents", "doc_id", "text")
     text = fx.squeeze("text")
     return docs.select("doc_id", F.md5(text).alias("text_md5"),
                        fx.word_count("text").alias("words"),
@@ -78,7 +78,7 @@ def code_extraction(spark, sf_dir):
 
 def text_measures(spark, sf_dir):
     m = fx.text_metrics("text")
-    return given(spark, sf_dir, "documents").select("doc_id", m.alias("m")).select("doc_id", "m.*")
+    return given_wide(spark, sf_dir, "documents", "doc_id", "text").select("doc_id", m.alias("m")).select("doc_id", "m.*")
 
 
 def label_counts(spark, sf_dir):
@@ -93,7 +93,7 @@ def label_counts(spark, sf_dir):
 
 
 def cleaned_pages(spark, sf_dir):
-    pages = given(spark, sf_dir, "pages").withColumn("clean", fx.clean_html("html"))
+    pages = given_wide(spark, sf_dir, "pages").withColumn("clean", fx.clean_html("html"))
     return pages.select("page_id", F.md5("clean").alias("clean_md5"),
                         F.length("clean").cast("long").alias("clean_chars"),
                         F.md5(fx.clean_html("url")).alias("url_md5"))

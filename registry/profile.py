@@ -8,7 +8,7 @@ from qalathe.plans import profile as plan
 
 from . import working as W
 from .validate import _rounded
-from .working import given, qa_base, qa_stage
+from .working import given, given_wide, qa_base, qa_stage
 
 
 def _profiled(df, digits=6):
@@ -24,7 +24,7 @@ def order_profile(spark, sf_dir):
 
 
 def line_profile(spark, sf_dir):
-    return _profiled(given(spark, sf_dir, "lineitem"), 4)
+    return _profiled(given_wide(spark, sf_dir, "lineitem"), 4)
 
 
 def label_profile(spark, sf_dir):

@@ -10,7 +10,7 @@ from qalathe.plans.stages import run_summary
 
 from . import working as W
 from .validate import _rounded
-from .working import given, qa_base, qa_processed, qa_stage, stage_table
+from .working import given, given_wide, qa_base, qa_processed, qa_stage, stage_table
 
 
 def _urgent(table):
@@ -44,7 +44,7 @@ def score_range(spark, sf_dir):
 
 
 def split_rows(spark, sf_dir):
-    lines = given(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber")
+    lines = given_wide(spark, sf_dir, "lineitem", "l_orderkey", "l_linenumber")
     return plan.train_test_split(lines, key=("l_orderkey", "l_linenumber"))
 
 

@@ -9,7 +9,7 @@ from qalathe.plans import validate as plan
 from qalathe.plans.checks import verdict
 
 from . import working as W
-from .working import given, qa_base, qa_processed, qa_stage
+from .working import given, given_wide, qa_base, qa_processed, qa_stage
 
 _NUMBERS = ("score", "answer_score", "view_count", "quality_score")
 
@@ -81,7 +81,7 @@ def score_description(spark, sf_dir):
 
 
 def numeric_description(spark, sf_dir):
-    return _rounded(plan.describe_numbers(given(spark, sf_dir, "lineitem")), 4)
+    return _rounded(plan.describe_numbers(given_wide(spark, sf_dir, "lineitem")), 4)
 
 
 def categories(spark, sf_dir):
@@ -109,13 +109,13 @@ def distinct_tags(spark, sf_dir):
 
 
 def price_bounds(spark, sf_dir):
-    lines = given(spark, sf_dir, "lineitem").withColumn(
+    lines = given_wide(spark, sf_dir, "lineitem", "l_extendedprice", "l_quantity").withColumn(
         "unit_price", F.col("l_extendedprice") / F.col("l_quantity"))
     return _rounded(plan.iqr_bounds(lines, ("l_extendedprice", "l_quantity", "unit_price")))
 
 
 def price_outliers(spark, sf_dir):
-    lines = given(spark, sf_dir, "lineitem").withColumn(
+    lines = given_wide(spark, sf_dir, "lineitem", "l_extendedprice", "l_quantity").withColumn(
         "unit_price", F.col("l_extendedprice") / F.col("l_quantity"))
     return plan.outlier_counts(lines, ("l_extendedprice", "unit_price"))
 

@@ -64,6 +64,12 @@ def given(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def given_wide(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
+    """Columns of a table for work that is heavy per row, see :func:`spread_small_scan`."""
+    table = given(spark, sf_dir, name)
+    return spread_small_scan(table.select(*columns) if columns else table)
+
+
 def over_documents(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
     return spark.sql(sql.replace("FROM documents", "FROM {documents}"),
                      documents=spread_small_scan(given(spark, sf_dir, "documents")))

@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import defaults as D
-from ..operators import beside
+from .. import sources
+from ..operators import beside, best_first
 from ..sources import first_available, write_csv, write_json, write_jsonl, write_table
 from . import acquire, alerts, bias, preprocess, profile, training, validate
 
@@ -23,12 +24,14 @@ def run_summary(pairs: DataFrame, processed: DataFrame, examples: DataFrame) ->
 def run_stages(
     spark: SparkSession, pairs: DataFrame, out: str, run_time,
     apply_mitigation: bool = True, test_ratio: float = D.TEST_RATIO, output_format: str = "chat",
-    min_rows: int = D.MIN_ROWS, min_samples: int | None = None,
+    min_rows: int = D.MIN_ROWS, min_samples: int | None = None, sort_processed: bool = True,
 ) -> dict[str, str]:
     """Runs every stage from pairs to training sets under the folder ``out``.
 
     Each stage reads the table the one before has written, so a lost executor costs one stage at
     most. An invalid table is not promoted; bias and training then read the processed one.
+    ``sort_processed`` writes that table best pairs first, which costs one shuffle of the texts
+    and serves readers only; no later stage needs it.
     """
     place = {name: f"{out.rstrip('/')}/{name}" for name in (
         "pairs", "processed", "processed_csv", "validated", "checks", "anomalies", "statistics",
@@ -37,7 +40,8 @@ def run_stages(
 
     write_table(pairs, place["pairs"])
     pairs = spark.read.parquet(place["pairs"])
-    write_table(preprocess.preprocess(pairs, run_time), place["processed"])
+    cleaned = preprocess.preprocess(pairs, run_time)
+    write_table(best_first(cleaned) if sort_processed else cleaned, place["processed"])
     processed = spark.read.parquet(place["processed"])
     write_csv(processed, place["processed_csv"])
 
@@ -69,3 +73,13 @@ def run_stages(
     write_json(alerts.route(alerts.derive_alerts(checks, anomalies, verdicts, run_time)), place["alerts"])
     write_json(run_summary(pairs, processed, rows), place["summary"])
     return place
+
+
+def run_from_csv(
+    spark: SparkSession, questions_path, answers_path, out: str, run_time,
+    min_score: int = D.MIN_SCORE, **options,
+) -> dict[str, str]:
+    """As :func:`run_stages`, from the two CSV dumps."""
+    questions = acquire.wellformed_questions(sources.read_questions_csv(spark, questions_path), min_score)
+    answers = acquire.wellformed_answers(sources.read_answers_csv(spark, answers_path))
+    return run_stages(spark, acquire.pairs_by_question(questions, answers), out, run_time, **options)

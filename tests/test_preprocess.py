@@ -3,7 +3,6 @@
 import datetime
 import random
 
-from pyspark.sql import functions as F
 
 from qalathe import schemas as S
 from qalathe.operators import best_first

@@ -5,7 +5,7 @@ import datetime
 import pytest
 
 from qalathe import schemas as S
-from qalathe.plans.stages import run_stages
+from qalathe.plans.stages import run_from_csv, run_stages
 
 AT = datetime.datetime(2024, 5, 1)
 
@@ -31,3 +31,18 @@ def test_chain(spark, tmp_path, n, valid, output_format):
     assert (summary.records_acquired, summary.records_processed, summary.training_examples) == (n, n, n)
     assert spark.read.csv(place["processed_csv"], header=True, multiLine=True, escape='"').count() == n
     assert spark.read.json(place["expectations"]).count() == 10
+
+
+def test_chain_from_csv(spark, tmp_path):
+    questions = ["Id,Title,Body,Score,AcceptedAnswerId,Tags,ViewCount,CreationDate"]
+    answers = ["AnswerId,QuestionId,AnswerBody,AnswerScore"]
+    for i in range(1, 11):
+        questions.append(f'{i},T{i},"<p>Why is pod {i} crashing, and how do I stop it?</p>",{i},{i + 100},<a><b>,5,')
+        answers.append(f'{i + 100},{i},"Look at the logs, &amp; then raise the limit of pod {i} a bit.",3')
+    (tmp_path / "q.csv").write_text("\n".join(questions))
+    (tmp_path / "a.csv").write_text("\n".join(answers))
+    place = run_from_csv(spark, str(tmp_path / "q.csv"), str(tmp_path / "a.csv"), str(tmp_path / "out"), AT, min_rows=1)
+    rows = spark.read.parquet(place["processed"]).collect()
+    assert sorted(r.question_id for r in rows) == [5, 6, 7, 8, 9, 10]
+    assert all("& then" in r.answer_body and r.tags == ["a", "b"] for r in rows)
+    assert spark.read.json(place["train"]).count() == 4

@@ -6,7 +6,6 @@ import re
 import sys
 
 import pytest
-from pyspark.sql import functions as F
 
 from qalathe import defaults as D
 from qalathe import functions as fx

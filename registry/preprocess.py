@@ -134,8 +134,9 @@ _TAGS_GONE = r"regexp_replace(coalesce({c}, ''), '<[^>]+>', ' ', 'g')"
 
 def _page_text(c: str) -> str:
     out = _TAGS_GONE.format(c=c)
-    for entity, char in (("&copy;", "©"), ("&middot;", "·"), ("&quot;", '"'), ("&amp;", "&")):
-        out = f"replace({out}, '{entity}', '{char}')"
+    # These names are also entities without their semicolon, which some pages have.
+    for name, char in (("copy", "©"), ("middot", "·"), ("quot", '"'), ("amp", "&")):
+        out = f"regexp_replace({out}, '&{name};?', '{char}', 'g')"
     return rf"trim(regexp_replace({out}, '\s+', ' ', 'g'))"
 
 

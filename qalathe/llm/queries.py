@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, line_dedup
+from . import bpe, exact_dedup, line_dedup, packing
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,6 +21,12 @@ def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(_table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
 
 
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text as token pieces, packed into sequences of 1024 tokens."""
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    return packing.packed_documents(_table(spark, sf_dir, "documents"), path, end_id=2, with_ids=False)
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of equal texts, and the row that stays."""
     return exact_dedup.exact_groups(_table(spark, sf_dir, "documents"))
@@ -63,6 +69,7 @@ GROUP BY doc_id
 
 QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
+    "op8_packing": op8_packing,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_line_dedup": op10_line_dedup,
 }

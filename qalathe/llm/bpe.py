@@ -22,6 +22,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
+from pyspark.sql import types as T
 
 # Bytes of text that are encoded at once; a longer text is a batch of its own.
 CHUNK_BYTES = 8_000_000
@@ -209,7 +210,7 @@ def encode(docs: DataFrame, path: str, pattern: str, text: str = "text", offsets
 
     schema = base.schema
     for name in names:
-        schema = schema.add(name, "array<int>")
+        schema = schema.add(name, T.ArrayType(T.IntegerType()))
     return base.mapInArrow(batches, schema)
 
 

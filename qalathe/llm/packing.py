@@ -23,6 +23,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from . import bpe
 from .work import saved
@@ -170,10 +171,10 @@ def cut_pieces(
             yield pa.RecordBatch.from_arrays(columns, names)
 
     schema = base.select(doc_id).schema
-    for name, kind in (("piece", "int"), ("start", "long"), ("length", "long"), ("ids_crc32", "long"),
-                       ("__task", "int"), ("__nth", "long")):
+    for name, kind in (("piece", "integer"), ("start", "long"), ("length", "long"), ("ids_crc32", "long"),
+                       ("__task", "integer"), ("__nth", "long")):
         schema = schema.add(name, kind)
-    return base.mapInArrow(batches, schema.add("ids", "array<int>") if with_ids else schema)
+    return base.mapInArrow(batches, schema.add("ids", T.ArrayType(T.IntegerType())) if with_ids else schema)
 
 
 def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, line_dedup, packing
+from . import bpe, exact_dedup, line_dedup, packing, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,6 +21,36 @@ def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(_table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
 
 
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page archived, read back and indexed; equal payloads are stored once."""
+    index = warc.capture_histories(_table(spark, sf_dir, "pages"))
+    return index.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to",
+                        "url_key", "time", "intact")
+
+
+_GROUP = "CAST('0x' || substr(d, 5 * i + 1, 5) AS INT)"
+OP7_SQL = f"""
+WITH t AS (
+  SELECT page_id, url, coalesce(html, '') AS html FROM pages
+),
+u AS (
+  SELECT page_id, html, strlen(html) AS payload_bytes, sha1(html) AS d, max(page_id) OVER (PARTITION BY html) AS last,
+         regexp_replace(coalesce(url, ''), '^[A-Za-z][A-Za-z0-9+.-]*://|#.*$', '', 'g') AS bare
+  FROM t
+)
+SELECT page_id, payload_bytes,
+       array_to_string(list_transform(range(8), lambda i: array_to_string(list_transform([15, 10, 5, 0],
+         lambda s: substr('{warc.BASE32}', 1 + (({_GROUP} >> s) & 31), 1)), '')), '') AS payload_digest,
+       CASE WHEN page_id = last THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id < last THEN last END AS refers_to,
+       array_to_string(list_reverse(string_split(lower(regexp_extract(bare, '^([^/?:]*)', 1)), '.')), ',') || ')'
+         || regexp_extract(bare, '^[^/?:]*(?::[0-9]*)?(.*)$', 1) AS url_key,
+       strftime(TIMESTAMP '2024-01-01' + to_seconds(page_id), '%Y-%m-%dT%H:%M:%SZ') AS "time",
+       true AS intact
+FROM u
+"""
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every text as token pieces, packed into sequences of 1024 tokens."""
     path = public_tokenizers.path("byte_bpe_50k.json")
@@ -69,11 +99,13 @@ GROUP BY doc_id
 
 QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
+    "op7_warc": op7_warc,
     "op8_packing": op8_packing,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_line_dedup": op10_line_dedup,
 }
 ORACLE = {
+    "op7_warc": OP7_SQL,
     "op9_exact_dedup": OP9_SQL,
     "op10_line_dedup": OP10_SQL,
 }

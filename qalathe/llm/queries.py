@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, line_dedup, packing, warc
+from . import bpe, exact_dedup, line_dedup, packing, quality, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,6 +21,11 @@ def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(_table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
 
 
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A quality score for every text, learned from trusted positives and unlabelled texts."""
+    return quality.quality_scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page archived, read back and indexed; equal payloads are stored once."""
     index = warc.capture_histories(_table(spark, sf_dir, "pages"))
@@ -99,6 +104,7 @@ GROUP BY doc_id
 
 QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
+    "op4_quality": op4_quality,
     "op7_warc": op7_warc,
     "op8_packing": op8_packing,
     "op9_exact_dedup": op9_exact_dedup,

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, line_dedup, packing, quality, warc
+from . import bpe, exact_dedup, line_dedup, ngram_join, packing, quality, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -26,6 +26,11 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents linked by the similarity of their sets of four words in a row."""
+    return ngram_join.similar_documents(_table(spark, sf_dir, "documents"), n=4, percent=85)
+
+
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page archived, read back and indexed; equal payloads are stored once."""
     index = warc.capture_histories(_table(spark, sf_dir, "pages"))
@@ -105,6 +110,7 @@ GROUP BY doc_id
 QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
     "op4_quality": op4_quality,
+    "op6_ngram_join": op6_ngram_join,
     "op7_warc": op7_warc,
     "op8_packing": op8_packing,
     "op9_exact_dedup": op9_exact_dedup,

@@ -45,6 +45,9 @@ NEIGHBOURHOODS = 16
 SLICE_ROWS = 4000
 _ROW_BITS = np.uint64(12)
 
+# 64-bit words of the sketch that tells most unlike sets apart where they meet.
+SKETCH_WORDS = 8
+
 INDEX, PROBE = 1, 2
 
 
@@ -258,24 +261,50 @@ def _meetings(signatures: DataFrame, partitions: int) -> DataFrame:
 
 # --- verification -------------------------------------------------------------------------
 
+def sketches(tokens: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """A row of bits per set: whether an odd number of elements falls to each place.
+
+    Sets differ in at least as many elements as their sketches in bits.
+    """
+    n, places = len(bounds) - 1, 64 * SKETCH_WORDS
+    owner = np.repeat(np.arange(n), np.diff(bounds))
+    place = (ta.mixed(tokens + np.uint64(2)) % np.uint64(places)).astype(np.int64)
+    odd = (np.bincount(owner * places + place, minlength=n * places) & 1).astype(np.uint8)
+    return np.packbits(odd.reshape(n, places), axis=1).view(np.int64)
+
+
+_SKETCH = [f"sketch{k}" for k in range(SKETCH_WORDS)]
+
+
 def _sets(docs: DataFrame, text: str, n: int) -> DataFrame:
-    """(id, size, hash, grams): the set as sorted numbers in bytes, with 126 bits of hash."""
+    """(id, size, sketch, grams): the set as sorted numbers in bytes, and its sketch."""
+    names = ["id", "size", *_SKETCH, "grams"]
+
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in _slices(parts, text):
             tokens, bounds = ngram_sets(piece.column(1), n)
             rows = [tokens[a:b].tobytes() for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist())]
+            drawn = [pa.array(c) for c in np.ascontiguousarray(sketches(tokens, bounds).T)]
             yield pa.RecordBatch.from_arrays(
-                [piece.column(0), pa.array(np.diff(bounds)), pa.array(rows, pa.binary())], ["id", "size", "grams"])
+                [piece.column(0), pa.array(np.diff(bounds)), *drawn, pa.array(rows, pa.binary())], names)
 
-    schema = docs.select("id", F.lit(0).cast("long").alias("size"), F.lit(b"").alias("grams")).schema
-    return docs.select("id", text).mapInArrow(batches, schema)
+    numbers = [F.lit(0).cast("long").alias(c) for c in names[1:-1]]
+    return docs.select("id", text).mapInArrow(batches, docs.select("id", *numbers, F.lit(b"").alias("grams")).schema)
+
+
+def _may_be_similar(percent: int):
+    """A condition on columns of two sets, _a and _b, that holds for all similar ones."""
+    small, large = F.least("size_a", "size_b"), F.greatest("size_a", "size_b")
+    apart = sum((F.bit_count(F.col(f"{c}_a").bitwiseXOR(F.col(f"{c}_b"))) for c in _SKETCH), F.lit(0))
+    return (100 * small >= percent * large) & ((100 + percent) * apart <= (100 - percent) * (small + large))
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The ``pairs`` (a, b) that are similar enough."""
-    left = sets.select(F.col("id").alias("a"), F.col("size").alias("size_a"), F.col("grams").alias("grams_a"))
-    right = sets.select(F.col("id").alias("b"), F.col("size").alias("size_b"), F.col("grams").alias("grams_b"))
-    fit = 100 * F.least("size_a", "size_b") >= percent * F.greatest("size_a", "size_b")
+    left, right = (
+        sets.select(F.col("id").alias(s), *[F.col(c).alias(f"{c}_{s}") for c in sets.columns if c != "id"])
+        for s in "ab")
+    fit = _may_be_similar(percent)
     both = pairs.join(left, "a").join(right, "b").where(fit).select("a", "b", "grams_a", "grams_b")
 
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -318,24 +347,25 @@ def linked_documents(
 
     # Where a bucket still holds several components, its pairs across them.
     place = met.join(nodes.withColumnRenamed("node", "id"), "id", "left").select(
-        "sig", "id", F.col("size_role").bitwiseAND(3).alias("role"), F.shiftright("size_role", 2).alias("size"),
+        "sig", "id", F.col("size_role").bitwiseAND(3).alias("role"),
         F.coalesce("component", "id").alias("component"))
     place = saved(place, "placed")
     mixed = saved(place.groupBy("sig").agg(F.min("component").alias("c"), F.max("component").alias("d"))
                   .where("c <> d").select("sig"), "mixed")
-    open_rows = place.join(mixed, "sig", "left_semi")
-    a, b = (open_rows.select("sig", *[F.col(c).alias(f"{c}_{s}") for c in ("id", "role", "size", "component")])
+    open_rows = saved(
+        place.join(mixed, "sig", "left_semi").join(sets.select("id", "size", *_SKETCH), "id"), "open")
+    a, b = (open_rows.select("sig", *[F.col(c).alias(f"{c}_{s}") for c in open_rows.columns if c != "sig"])
             for s in "ab")
     across = a.join(b, "sig").where(
         (F.col("component_a") != F.col("component_b"))
         & (F.col("role_a").bitwiseAND(PROBE) != 0) & (F.col("role_b").bitwiseAND(INDEX) != 0)
-        & (F.col("size_a") >= F.col("size_b")) & (100 * F.col("size_b") >= percent * F.col("size_a")))
+        & (F.col("size_a") >= F.col("size_b")) & _may_be_similar(percent))
     second = across.select(F.col("id_a").alias("a"), F.col("id_b").alias("b")).distinct()
     second = second.join(first, ["a", "b"], "left_anti").join(
         first.select(F.col("a").alias("b"), F.col("b").alias("a")), ["a", "b"], "left_anti")
     more = saved(_verified(saved(second, "pairs"), sets, percent), "similar")
     out = nodes if more.isEmpty() else components(links.unionByName(more), "a", "b")
-    forget(met, place, mixed, sets)
+    forget(met, place, mixed, open_rows, sets)
     return out
 
 

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, line_dedup, ngram_join, packing, quality, warc
+from . import bpe, exact_dedup, line_dedup, ngram_join, packing, quality, suffix_dedup, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -26,6 +26,13 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every byte in a run of 50 that an earlier document holds is removed."""
+    out = suffix_dedup.drop_repeated(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"),
+                      F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents linked by the similarity of their sets of four words in a row."""
     return ngram_join.similar_documents(_table(spark, sf_dir, "documents"), n=4, percent=85)
@@ -110,6 +117,7 @@ GROUP BY doc_id
 QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
     "op4_quality": op4_quality,
+    "op5_suffix_dedup": op5_suffix_dedup,
     "op6_ngram_join": op6_ngram_join,
     "op7_warc": op7_warc,
     "op8_packing": op8_packing,

@@ -26,6 +26,8 @@ from pyspark.sql import types as T
 
 # Bytes of text that are encoded at once; a longer text is a batch of its own.
 CHUNK_BYTES = 8_000_000
+# Letters before this one are letters in every version of the character tables.
+LATIN_END = "\u0180"
 # Units that a worker remembers between batches.
 KNOWN_UNITS = 250_000
 
@@ -97,20 +99,31 @@ def byte_table(path: str) -> list[bytes]:
 class UnitEncoder:
     """Encodes many texts by encoding each distinct unit of them once.
 
-    A unit begins with a space that follows a character that is not white space. The patterns of
-    these tokenizers never match across such a place, so the ids of a text are those of its units
-    in turn. A text with other white space before a space is encoded as one unit.
+    A unit begins with a space or with line feeds that follow a character that is not white space.
+    The patterns of these tokenizers never match across such a place, so the ids of a text are
+    those of its units in turn. A text with other white space there is encoded as one unit.
+    Units of Latin letters are one match as a whole and skip the pattern.
     """
 
     def __init__(self, tokenizer) -> None:
+        from tokenizers import Tokenizer, pre_tokenizers
+
         self._tokenizer = tokenizer
+        self._letters = Tokenizer.from_str(tokenizer.to_str())
+        self._letters.encode_special_tokens = True
+        self._letters.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         self._known: dict[str, int] = {}
         self._ids = np.zeros(0, np.int32)
         self._bounds = np.zeros(1, np.int64)
 
     def _encoded(self, units: list[str]) -> None:
         """Appends the ids of ``units``."""
-        found = [e.ids for e in self._tokenizer.encode_batch_fast(units, add_special_tokens=False)]
+        one = [u[:1] == " " and u[1:].isalpha() and u < LATIN_END and max(u) < LATIN_END for u in units]
+        found = [None] * len(units)
+        for tokenizer, whole in ((self._letters, True), (self._tokenizer, False)):
+            at = [k for k, o in enumerate(one) if o is whole]
+            for k, e in zip(at, tokenizer.encode_batch_fast([units[k] for k in at], add_special_tokens=False)):
+                found[k] = e.ids
         sizes = np.fromiter(map(len, found), np.int64, len(found))
         flat = np.fromiter(itertools.chain.from_iterable(found), np.int32, int(sizes.sum()))
         self._ids = np.concatenate([self._ids, flat])
@@ -137,13 +150,13 @@ class UnitEncoder:
         if not len(texts):
             return np.zeros(0, np.int32), np.zeros(1, np.int64)
         texts = pc.fill_null(texts.cast(pa.large_string()), "")
-        words = pc.split_pattern(texts, " ")
+        words = pc.split_pattern(pc.replace_substring_regex(texts, r"\n+", r" \0"), " ")
         bounds = words.offsets.to_numpy().astype(np.int64)
         coded = words.flatten().dictionary_encode()
         place, distinct = coded.indices.to_numpy(), coded.dictionary.to_pylist()
         first, last = bounds[:-1], bounds[1:] - 1
 
-        number = self._numbers([" " + w for w in distinct])[place]
+        number = self._numbers([w if w[:1] == "\n" else " " + w for w in distinct])[place]
         number[first] = self._numbers([distinct[k] for k in place[first]])
         # A word that is empty or ends in white space makes the next place no safe one.
         unsafe = np.fromiter((not w or w[-1].isspace() for w in distinct), bool, len(distinct))[place]

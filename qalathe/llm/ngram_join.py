@@ -300,12 +300,14 @@ def _may_be_similar(percent: int):
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The ``pairs`` (a, b) that are similar enough."""
-    left, right = (
-        sets.select(F.col("id").alias(s), *[F.col(c).alias(f"{c}_{s}") for c in sets.columns if c != "id"])
-        for s in "ab")
-    fit = _may_be_similar(percent)
-    both = pairs.join(left, "a").join(right, "b").where(fit).select("a", "b", "grams_a", "grams_b")
+    """The ``pairs`` (a, b) that are similar enough; sets travel only for pairs whose sketches allow it."""
+    def beside(table: DataFrame, columns: list[str]) -> DataFrame:
+        for s in "ab":
+            table = table.join(sets.select(F.col("id").alias(s), *[F.col(c).alias(f"{c}_{s}") for c in columns]), s)
+        return table
+
+    likely = saved(beside(pairs, ["size", *_SKETCH]).where(_may_be_similar(percent)).select("a", "b"), "likely")
+    both = beside(likely, ["grams"]).select("a", "b", "grams_a", "grams_b")
 
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
@@ -339,7 +341,7 @@ def linked_documents(
 
     # Sets of those that met, once for all rounds.
     involved = met.select("id").distinct()
-    sets = saved(_sets(docs.join(saved(involved, "involved"), "id", "left_semi"), text, n).dropDuplicates(["id"]), "sets")
+    sets = saved(_sets(docs.join(saved(involved, "involved"), "id", "left_semi"), text, n), "sets")
 
     first = saved(met.where("id <> centre").select(F.col("id").alias("a"), F.col("centre").alias("b")).distinct(), "pairs")
     links = saved(_verified(first, sets, percent), "similar")

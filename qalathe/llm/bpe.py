@@ -16,6 +16,7 @@ import functools
 import hashlib
 import itertools
 import os
+import re
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -26,10 +27,11 @@ from pyspark.sql import types as T
 
 # Bytes of text that are encoded at once; a longer text is a batch of its own.
 CHUNK_BYTES = 8_000_000
-# Letters before this one are letters in every version of the character tables.
-LATIN_END = "\u0180"
+# Units in one string, and which go there: a space, then nothing that any table counts as white space.
+JOINED = 500
+_ONE_SPACE = re.compile(r" [^\s\x00-\x20\x7f-\xa0\u1680\u180e\u2000-\u200f\u2028-\u202f\u205f-\u2060\u3000\ufeff]+").fullmatch
 # Units that a worker remembers between batches.
-KNOWN_UNITS = 250_000
+KNOWN_UNITS = 400_000
 
 
 def byte_characters() -> list[str]:
@@ -102,40 +104,41 @@ class UnitEncoder:
     A unit begins with a space or with line feeds that follow a character that is not white space.
     The patterns of these tokenizers never match across such a place, so the ids of a text are
     those of its units in turn. A text with other white space there is encoded as one unit.
-    Units of Latin letters are one match as a whole and skip the pattern.
+    New units go to the library in strings of many; a token that begins with a space begins a unit.
     """
 
     def __init__(self, tokenizer) -> None:
-        from tokenizers import Tokenizer, pre_tokenizers
-
         self._tokenizer = tokenizer
-        self._letters = Tokenizer.from_str(tokenizer.to_str())
-        self._letters.encode_special_tokens = True
-        self._letters.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        vocabulary = tokenizer.get_vocab()
+        self._spaced = np.zeros(1 + max(vocabulary.values()), bool)
+        space = byte_characters()[0x20]
+        self._spaced[[k for token, k in vocabulary.items() if token.startswith(space)]] = True
         self._known: dict[str, int] = {}
         self._ids = np.zeros(0, np.int32)
         self._bounds = np.zeros(1, np.int64)
 
-    def _encoded(self, units: list[str]) -> None:
-        """Appends the ids of ``units``."""
-        one = [u[:1] == " " and u[1:].isalpha() and u < LATIN_END and max(u) < LATIN_END for u in units]
-        found = [None] * len(units)
-        for tokenizer, whole in ((self._letters, True), (self._tokenizer, False)):
-            at = [k for k, o in enumerate(one) if o is whole]
-            for k, e in zip(at, tokenizer.encode_batch_fast([units[k] for k in at], add_special_tokens=False)):
-                found[k] = e.ids
+    def _run(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        found = [e.ids for e in self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
         sizes = np.fromiter(map(len, found), np.int64, len(found))
-        flat = np.fromiter(itertools.chain.from_iterable(found), np.int32, int(sizes.sum()))
-        self._ids = np.concatenate([self._ids, flat])
-        self._bounds = np.concatenate([self._bounds, self._bounds[-1] + np.cumsum(sizes)])
+        return np.fromiter(itertools.chain.from_iterable(found), np.int32, int(sizes.sum())), sizes
+
+    def _encoded(self, units: list[str]) -> list[str]:
+        """Appends the ids of ``units`` and returns these in the order of their places."""
+        alone = []
+        joined = [u for u in units if _ONE_SPACE(u) or alone.append(u)]
+        ids, _ = self._run(["".join(joined[k:k + JOINED]) for k in range(0, len(joined), JOINED)])
+        sizes = np.diff(np.append(np.flatnonzero(self._spaced[ids]), len(ids)))
+        more_ids, more_sizes = self._run(alone)
+        self._ids = np.concatenate([self._ids, ids, more_ids])
+        self._bounds = np.concatenate([self._bounds, self._bounds[-1] + np.cumsum(np.append(sizes, more_sizes))])
+        return joined + alone
 
     def _numbers(self, units: list[str]) -> np.ndarray:
         known = self._known
         new = [u for u in dict.fromkeys(units) if u not in known]
         if new:
             first = len(self._bounds) - 1
-            self._encoded(new)
-            known.update(zip(new, range(first, first + len(new))))
+            known.update(zip(self._encoded(new), itertools.count(first)))
         return np.fromiter(map(known.__getitem__, units), np.int64, len(units))
 
     def _forget(self) -> None:
@@ -167,7 +170,9 @@ class UnitEncoder:
         used = np.ones(len(number), np.int64)
         if len(whole):
             base = len(self._bounds) - 1
-            self._encoded(texts.take(pa.array(whole)).to_pylist())
+            ids, counts = self._run(texts.take(pa.array(whole)).to_pylist())
+            self._ids = np.concatenate([self._ids, ids])
+            self._bounds = np.concatenate([self._bounds, self._bounds[-1] + np.cumsum(counts)])
             for k, text in enumerate(whole):
                 used[first[text]:last[text] + 1] = 0
                 used[first[text]] = 1

@@ -27,12 +27,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import textarrays as ta
 from .components import components
-from .work import forget, saved
+from .work import forget, saved, slots
 
 # Ratio of the sizes at the ends of a band.
 BAND_RATIO = 1.5
@@ -47,6 +48,7 @@ _ROW_BITS = np.uint64(12)
 
 # 64-bit words of the sketch that tells most unlike sets apart where they meet.
 SKETCH_WORDS = 8
+PAIRS_AT_ONCE = 500
 
 INDEX, PROBE = 1, 2
 
@@ -276,20 +278,29 @@ def sketches(tokens: np.ndarray, bounds: np.ndarray) -> np.ndarray:
 _SKETCH = [f"sketch{k}" for k in range(SKETCH_WORDS)]
 
 
-def _sets(docs: DataFrame, text: str, n: int) -> DataFrame:
-    """(id, size, sketch, grams): the set as sorted numbers in bytes, and its sketch."""
-    names = ["id", "size", *_SKETCH, "grams"]
+def set_sizes(docs: DataFrame, n: int, text: str = "text") -> DataFrame:
+    """(id, size, sketch) of the n-gram set of every row of ``docs`` (id, text)."""
+    names = ["id", "size", *_SKETCH]
 
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in _slices(parts, text):
             tokens, bounds = ngram_sets(piece.column(1), n)
-            rows = [tokens[a:b].tobytes() for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist())]
             drawn = [pa.array(c) for c in np.ascontiguousarray(sketches(tokens, bounds).T)]
-            yield pa.RecordBatch.from_arrays(
-                [piece.column(0), pa.array(np.diff(bounds)), *drawn, pa.array(rows, pa.binary())], names)
+            yield pa.RecordBatch.from_arrays([piece.column(0), pa.array(np.diff(bounds)), *drawn], names)
+
+    numbers = [F.lit(0).cast("long").alias(c) for c in names[1:]]
+    return docs.select("id", text).mapInArrow(batches, docs.select("id", *numbers).schema)
+
+
+def _packed(docs: DataFrame, text: str) -> DataFrame:
+    """(id, packed): compressed texts, for a shuffle."""
+    def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        press = zstandard.ZstdCompressor().compress
+        for part in parts:
+            texts = pa.array([press((t or "").encode()) for t in part.column(1).to_pylist()], pa.binary())
+            yield pa.RecordBatch.from_arrays([part.column(0), texts], ["id", "packed"])
 
-    numbers = [F.lit(0).cast("long").alias(c) for c in names[1:-1]]
-    return docs.select("id", text).mapInArrow(batches, docs.select("id", *numbers, F.lit(b"").alias("grams")).schema)
+    return docs.select("id", text).mapInArrow(batches, docs.select("id", F.lit(b"").alias("packed")).schema)
 
 
 def _may_be_similar(percent: int):
@@ -299,63 +310,66 @@ def _may_be_similar(percent: int):
     return (100 * small >= percent * large) & ((100 + percent) * apart <= (100 - percent) * (small + large))
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The ``pairs`` (a, b) that are similar enough; sets travel only for pairs whose sketches allow it."""
-    def beside(table: DataFrame, columns: list[str]) -> DataFrame:
-        for s in "ab":
-            table = table.join(sets.select(F.col("id").alias(s), *[F.col(c).alias(f"{c}_{s}") for c in columns]), s)
-        return table
+def _beside(pairs: DataFrame, table: DataFrame) -> DataFrame:
+    """``pairs`` (a, b) with the columns of both ids, named _a and _b."""
+    for s in "ab":
+        pairs = pairs.join(table.select(*[F.col(c).alias(s if c == "id" else f"{c}_{s}") for c in table.columns]), s)
+    return pairs
 
-    likely = saved(beside(pairs, ["size", *_SKETCH]).where(_may_be_similar(percent)).select("a", "b"), "likely")
-    both = beside(likely, ["grams"]).select("a", "b", "grams_a", "grams_b")
+
+def _verified(pairs: DataFrame, sizes: DataFrame, docs: DataFrame, n: int, percent: int, text: str) -> DataFrame:
+    """The ``pairs`` (a, b) that are similar enough.
+
+    Sketches rule out most of the others; texts travel only for what is left.
+    """
+    likely = saved(_beside(pairs, sizes).where(_may_be_similar(percent)).select("a", "b"), "likely")
+    wanted = likely.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+    texts = saved(_packed(docs, text).join(wanted, "id"), "texts")
+    both = _beside(likely, texts)
 
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        free = zstandard.ZstdDecompressor().decompress
         for part in parts:
-            good = np.zeros(part.num_rows, bool)
-            for k, (x, y) in enumerate(zip(part.column(2), part.column(3))):
-                x, y = x.as_buffer(), y.as_buffer()
-                if x.equals(y):
-                    good[k] = True
-                    continue
-                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                if len(x) < len(y):
-                    x, y = y, x
-                at = np.minimum(np.searchsorted(x, y), len(x) - 1)
-                common = int((x[at] == y).sum())
-                good[k] = 100 * common >= percent * (len(x) + len(y) - common)
-            yield part.select(["a", "b"]).filter(pa.array(good))
+            for start in range(0, part.num_rows, PAIRS_AT_ONCE):
+                rows = part.slice(start, PAIRS_AT_ONCE)
+                packed = [x for c in ("packed_a", "packed_b") for x in rows.column(c).to_pylist()]
+                apart = {x: k for k, x in enumerate(dict.fromkeys(packed))}
+                tokens, bounds = ngram_sets(pa.array([free(x) for x in apart], pa.binary()), n)
+                good = []
+                for x, y in zip(packed[:rows.num_rows], packed[rows.num_rows:]):
+                    x, y = (tokens[bounds[apart[t]]:bounds[apart[t] + 1]] for t in (x, y))
+                    if len(x) < len(y):
+                        x, y = y, x
+                    common = int((x[np.minimum(np.searchsorted(x, y), len(x) - 1)] == y).sum())
+                    good.append(100 * common >= percent * (len(x) + len(y) - common))
+                yield rows.select(["a", "b"]).filter(pa.array(good))
 
     return both.mapInArrow(batches, both.select("a", "b").schema)
 
 
 def linked_documents(
     docs: DataFrame, n: int = 5, percent: int = 80, text: str = "text", doc_id: str = "doc_id",
-) -> DataFrame:
-    """(node, component) of every document that is linked with another one."""
+) -> tuple[DataFrame, DataFrame]:
+    """(node, component) of every document that is linked with another one, and all set sizes."""
     bands = Bands(percent)
-    docs = docs.select(F.col(doc_id).alias("id"), text).where(F.col("id").isNotNull())
-    spark = docs.sparkSession
-    partitions = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
+    docs = docs.select(F.col(doc_id).alias("id"), text)
+    sizes = saved(set_sizes(docs, n, text), "sizes")
+    docs = docs.where(F.col("id").isNotNull())
+    partitions = slots(docs.sparkSession)
     dear = _dear_signatures(docs, text, n, bands)
     met = saved(_meetings(_signatures(docs, text, n, bands, dear), partitions), "meetings")
 
-    # Sets of those that met, once for all rounds.
-    involved = met.select("id").distinct()
-    sets = saved(_sets(docs.join(saved(involved, "involved"), "id", "left_semi"), text, n), "sets")
-
     first = saved(met.where("id <> centre").select(F.col("id").alias("a"), F.col("centre").alias("b")).distinct(), "pairs")
-    links = saved(_verified(first, sets, percent), "similar")
+    links = saved(_verified(first, sizes, docs, n, percent, text), "similar")
     nodes = components(links, "a", "b")
 
     # Where a bucket still holds several components, its pairs across them.
     place = met.join(nodes.withColumnRenamed("node", "id"), "id", "left").select(
-        "sig", "id", F.col("size_role").bitwiseAND(3).alias("role"),
-        F.coalesce("component", "id").alias("component"))
-    place = saved(place, "placed")
+        "sig", "id", F.col("size_role").bitwiseAND(3).alias("role"), F.coalesce("component", "id").alias("component"))
     mixed = saved(place.groupBy("sig").agg(F.min("component").alias("c"), F.max("component").alias("d"))
                   .where("c <> d").select("sig"), "mixed")
-    open_rows = saved(
-        place.join(mixed, "sig", "left_semi").join(sets.select("id", "size", *_SKETCH), "id"), "open")
+    open_rows = saved(place.join(mixed, "sig", "left_semi").join(sizes, "id"), "open")
+    forget(met, mixed)
     a, b = (open_rows.select("sig", *[F.col(c).alias(f"{c}_{s}") for c in open_rows.columns if c != "sig"])
             for s in "ab")
     across = a.join(b, "sig").where(
@@ -365,32 +379,27 @@ def linked_documents(
     second = across.select(F.col("id_a").alias("a"), F.col("id_b").alias("b")).distinct()
     second = second.join(first, ["a", "b"], "left_anti").join(
         first.select(F.col("a").alias("b"), F.col("b").alias("a")), ["a", "b"], "left_anti")
-    more = saved(_verified(saved(second, "pairs"), sets, percent), "similar")
-    out = nodes if more.isEmpty() else components(links.unionByName(more), "a", "b")
-    forget(met, place, mixed, open_rows, sets)
-    return out
+    second = saved(second, "pairs")
+    forget(open_rows, first)
+    if second.isEmpty():
+        return nodes, sizes
+    more = saved(_verified(second, sizes, docs, n, percent, text), "similar")
+    return (nodes if more.isEmpty() else components(links.unionByName(more), "a", "b")), sizes
 
 
 def similar_documents(
     docs: DataFrame, n: int = 5, percent: int = 80, text: str = "text", doc_id: str = "doc_id",
 ) -> DataFrame:
     """Id, ``n_shingles`` and ``component_id`` of each row of ``docs``."""
-    found = linked_documents(docs, n, percent, text, doc_id)
-
-    def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for piece in _slices(parts, text):
-            _, bounds = ngram_sets(piece.column(1), n)
-            yield pa.RecordBatch.from_arrays([piece.column(0), pa.array(np.diff(bounds))], [doc_id, "n_shingles"])
-
-    base = docs.select(doc_id, text)
-    sizes = base.mapInArrow(batches, base.select(doc_id, F.lit(0).cast("long").alias("n_shingles")).schema)
-    return sizes.join(found.withColumnRenamed("node", doc_id), doc_id, "left").select(
-        doc_id, "n_shingles", F.coalesce("component", doc_id).alias("component_id"))
+    found, sizes = linked_documents(docs, n, percent, text, doc_id)
+    return sizes.join(found, F.col("id") == F.col("node"), "left").select(
+        F.col("id").alias(doc_id), F.col("size").alias("n_shingles"), F.coalesce("component", "id").alias("component_id"))
 
 
 def one_of_each_group(
     docs: DataFrame, n: int = 5, percent: int = 80, text: str = "text", doc_id: str = "doc_id",
 ) -> DataFrame:
     """``docs`` with the smallest id of each component of similar documents."""
-    dropped = linked_documents(docs, n, percent, text, doc_id).where("node <> component")
-    return docs.join(saved(dropped.select(F.col("node").alias(doc_id)), "near-copies"), doc_id, "left_anti").select(docs.columns)
+    found, _ = linked_documents(docs, n, percent, text, doc_id)
+    dropped = saved(found.where("node <> component").select(F.col("node").alias(doc_id)), "near-copies")
+    return docs.join(dropped, doc_id, "left_anti").select(docs.columns)

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, line_dedup, ngram_join, packing, quality, suffix_dedup, warc
+from . import bpe, exact_dedup, line_dedup, neighbours, ngram_join, packing, quality, suffix_dedup, url_filter, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,6 +21,62 @@ def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(_table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
 
 
+def op2_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest of every vector whose id is divisible by 20, among all vectors."""
+    table = _table(spark, sf_dir, "embeddings")
+    return neighbours.nearest(table, table.where(F.col("vec_id") % 20 == 0), k=20)
+
+
+# Entries come from the pages themselves: two lists name hosts, parent domains and paths, with
+# changes at times that follow from the page id. A page is fetched an hour after the page before.
+_ENTRIES = """
+SELECT list, name, changed, listed FROM (
+  SELECT CASE WHEN page_id % 2 = 0 THEN 'ads' ELSE 'spam' END AS list,
+         CASE WHEN page_id % 6 < 2 THEN regexp_extract(lower(url), '^[a-z]+://([^/:?#]+)', 1)
+              WHEN page_id % 6 < 4 THEN regexp_extract(lower(url), '^[a-z]+://[^./:?#]+[.]([^/:?#]+)', 1)
+              ELSE regexp_extract(url, '^[a-z]+://([^/:?#]+/[^/?#]+)', 1) END AS name,
+         3600 * ((page_id * 7919) % (page_id + 1)) AS changed, (page_id * 31) % 5 < 3 AS listed
+  FROM pages WHERE url IS NOT NULL AND page_id % 3 = 0
+) WHERE name <> ''
+"""
+
+
+def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page against the list entries in force when it was fetched."""
+    pages = _table(spark, sf_dir, "pages").select("page_id", "url")
+    entries = spark.sql(_ENTRIES.replace("FROM pages", "FROM {pages}"), pages=pages)
+    out = url_filter.judged(pages.withColumn("fetched", 3600 * F.col("page_id")), entries)
+    return out.select(
+        "page_id", "blocked", F.size("hits").cast("long").alias("n_hits"),
+        F.array_join(F.transform("hits", lambda h: F.concat(h["list"], F.lit(":"), h["name"])), " ").alias("hits"))
+
+
+OP3_SQL = f"""
+WITH entries AS ({_ENTRIES}),
+one AS (SELECT list, name, changed, bool_and(listed) AS listed FROM entries GROUP BY ALL),
+spans AS (SELECT *, lead(changed) OVER (PARTITION BY list, name ORDER BY changed) AS until FROM one),
+p AS (
+  SELECT page_id, 3600 * page_id AS fetched,
+         lower(regexp_extract(url, '^[A-Za-z]+://([^/:?#]+)', 1)) AS host,
+         regexp_extract(url, '^[A-Za-z]+://[^/?#]*(/[^?#]*)?', 1) AS path
+  FROM pages
+),
+n AS (
+  SELECT page_id, fetched, array_to_string(list_slice(string_split(host, '.'), k, len(string_split(host, '.'))), '.') AS name
+  FROM p, unnest(range(1, 1 + len(string_split(host, '.')))) AS r(k)
+  UNION
+  SELECT page_id, fetched, host || array_to_string(list_slice(string_split(path, '/'), 1, k), '/')
+  FROM p, unnest(range(2, 1 + len(string_split(path, '/')))) AS r(k)
+),
+h AS (
+  SELECT DISTINCT page_id, list || ':' || n.name AS hit
+  FROM n JOIN spans s ON n.name = s.name AND fetched >= changed AND (until IS NULL OR fetched < until) AND listed
+)
+SELECT p.page_id, count(hit) > 0 AS blocked, count(hit) AS n_hits, coalesce(string_agg(hit, ' ' ORDER BY hit), '') AS hits
+FROM pages p LEFT JOIN h ON p.page_id = h.page_id GROUP BY p.page_id
+"""
+
+
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A quality score for every text, learned from trusted positives and unlabelled texts."""
     return quality.quality_scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
@@ -116,6 +172,8 @@ GROUP BY doc_id
 
 QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
+    "op2_neighbours": op2_neighbours,
+    "op3_url_filter": op3_url_filter,
     "op4_quality": op4_quality,
     "op5_suffix_dedup": op5_suffix_dedup,
     "op6_ngram_join": op6_ngram_join,
@@ -125,6 +183,7 @@ QUERIES = {
     "op10_line_dedup": op10_line_dedup,
 }
 ORACLE = {
+    "op3_url_filter": OP3_SQL,
     "op7_warc": OP7_SQL,
     "op9_exact_dedup": OP9_SQL,
     "op10_line_dedup": OP10_SQL,

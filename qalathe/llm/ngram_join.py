@@ -48,7 +48,7 @@ _ROW_BITS = np.uint64(12)
 
 # 64-bit words of the sketch that tells most unlike sets apart where they meet.
 SKETCH_WORDS = 8
-PAIRS_AT_ONCE = 500
+PAIRS_AT_ONCE = 100
 
 INDEX, PROBE = 1, 2
 
@@ -216,8 +216,23 @@ def _dear_signatures(docs: DataFrame, text: str, n: int, bands: Bands) -> np.nda
     return np.sort(rows.column("sig").to_numpy().view(np.uint64))
 
 
-def _meetings(signatures: DataFrame, partitions: int) -> DataFrame:
-    """(sig, id, size_role, centre) of the buckets where different documents meet.
+def _no_pair(size_role: np.ndarray, begins: np.ndarray, percent: int) -> np.ndarray:
+    """Which buckets hold two rows that can be no pair by their roles and sizes, or no probe or index at all."""
+    role, size = size_role & 3, size_role >> 2
+    count = np.diff(np.append(begins, len(role)))
+    out = (np.bitwise_or.reduceat(role, begins) != INDEX | PROBE) if len(begins) else np.zeros(0, bool)
+    two = np.flatnonzero(count == 2)
+    x, y = begins[two], begins[two] + 1
+    def fits(a, b):
+        return ((role[a] & PROBE) > 0) & ((role[b] & INDEX) > 0) & (size[a] >= size[b]) & (
+            100 * size[b] >= percent * size[a])
+
+    out[two] |= ~(fits(x, y) | fits(y, x))
+    return out
+
+
+def _meetings(signatures: DataFrame, partitions: int, percent: int) -> DataFrame:
+    """(sig, id, size_role, centre) of the buckets where documents meet that may be a pair.
 
     The centre is the smallest id of its bucket. Rows stream through sorted by bucket; only the
     rows of one Arrow batch are held.
@@ -245,7 +260,11 @@ def _meetings(signatures: DataFrame, partitions: int) -> DataFrame:
                 several[0] = True
             # A bucket at the end in which one document only was seen may still grow.
             open_end = not several[-1]
-            keep = several[group]
+            # Buckets that go on beyond this batch are not seen whole.
+            useless = _no_pair(table.column(2).to_numpy(), begins, percent)
+            useless[0] &= not known
+            useless[-1] = False
+            keep = (several & ~useless)[group]
             waiting = None
             if open_end:  # rows of one document, one of each size and role
                 _, apart = np.unique(table.column(2).to_numpy()[begins[-1]:], return_index=True)
@@ -333,11 +352,16 @@ def _verified(pairs: DataFrame, sizes: DataFrame, docs: DataFrame, n: int, perce
             for start in range(0, part.num_rows, PAIRS_AT_ONCE):
                 rows = part.slice(start, PAIRS_AT_ONCE)
                 packed = [x for c in ("packed_a", "packed_b") for x in rows.column(c).to_pylist()]
-                apart = {x: k for k, x in enumerate(dict.fromkeys(packed))}
-                tokens, bounds = ngram_sets(pa.array([free(x) for x in apart], pa.binary()), n)
+                apart = list(dict.fromkeys(packed))
+                opened = pa.record_batch([pa.array([free(x) for x in apart], pa.binary())], ["text"])
+                grams = []
+                for piece in ta.slices(opened, "text"):
+                    tokens, bounds = ngram_sets(piece.column(0), n)
+                    grams += [tokens[a:b] for a, b in zip(bounds[:-1], bounds[1:])]
+                sets = dict(zip(apart, grams))
                 good = []
                 for x, y in zip(packed[:rows.num_rows], packed[rows.num_rows:]):
-                    x, y = (tokens[bounds[apart[t]]:bounds[apart[t] + 1]] for t in (x, y))
+                    x, y = sets[x], sets[y]
                     if len(x) < len(y):
                         x, y = y, x
                     common = int((x[np.minimum(np.searchsorted(x, y), len(x) - 1)] == y).sum())
@@ -357,9 +381,11 @@ def linked_documents(
     docs = docs.where(F.col("id").isNotNull())
     partitions = slots(docs.sparkSession)
     dear = _dear_signatures(docs, text, n, bands)
-    met = saved(_meetings(_signatures(docs, text, n, bands, dear), partitions), "meetings")
+    met = saved(_meetings(_signatures(docs, text, n, bands, dear), partitions, percent), "meetings")
 
-    first = saved(met.where("id <> centre").select(F.col("id").alias("a"), F.col("centre").alias("b")).distinct(), "pairs")
+    # Dealt by one id, pairs become distinct and meet its sketch in one shuffle.
+    first = saved(met.where("id <> centre").select(F.col("id").alias("a"), F.col("centre").alias("b"))
+                  .repartition(partitions, "a").distinct(), "pairs")
     links = saved(_verified(first, sizes, docs, n, percent, text), "similar")
     nodes = components(links, "a", "b")
 

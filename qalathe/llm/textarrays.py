@@ -10,7 +10,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 # Bytes handled at once; a longer text is a slice of its own.
-SLICE_BYTES = 2_000_000
+SLICE_BYTES = 1_000_000
 BLANK = np.zeros(256, bool)
 BLANK[[0x20, *range(0x09, 0x0E)]] = True
 LOWER = np.arange(256, dtype=np.uint8)

@@ -8,16 +8,13 @@ from pyspark.sql import functions as F
 from .lookup import unique_lookup_join
 
 
-def best_first(df: DataFrame, score: str = "quality_score") -> DataFrame:
-    """Whole table by falling score, ties in input order.
+def best_first(df: DataFrame, score: str = "quality_score", position: str = "question_id") -> DataFrame:
+    """Whole table by falling score, ties by ``position``, a key or a column of the input order.
 
-    The row id makes the sort keys distinct, so equal scores spread over the range
+    The position makes the sort keys distinct, so equal scores spread over the range
     partitions instead of meeting in one.
     """
-    return (
-        df.withColumn("_row", F.monotonically_increasing_id())
-        .orderBy(F.desc(score), "_row").drop("_row")
-    )
+    return df.orderBy(F.desc(score), position)
 
 
 def value_counts(df: DataFrame, column: str, as_value: str = "value") -> DataFrame:

@@ -92,9 +92,9 @@ def route(alerts: DataFrame, channels=CHANNELS) -> DataFrame:
 def append_history(
     history: DataFrame, alerts: DataFrame, keep: int = D.ALERT_HISTORY_ROWS, ties: tuple[str, ...] = (),
 ) -> DataFrame:
-    """The last ``keep`` alerts of history and new ones together; ``ties`` orders equal times."""
+    """The last ``keep`` alerts of history and new ones together; ``ties``, then all columns, order equal times."""
     columns = [*_COLUMNS, *[t for t in ties if t not in _COLUMNS]]
     both = history.select(*columns).withColumn("_new", F.lit(0)).unionByName(
         alerts.select(*_COLUMNS).withColumn("_new", F.lit(1)), allowMissingColumns=True)
-    order = [F.desc("_new"), F.desc("timestamp"), *[F.desc(t) for t in ties]]
+    order = [F.desc("_new"), F.desc("timestamp"), *[F.desc(t) for t in ties], F.desc(F.to_json(F.struct(*_COLUMNS)))]
     return both.orderBy(*order).limit(keep).drop("_new")

@@ -78,11 +78,17 @@ def _lengths(df: DataFrame) -> DataFrame:
 _MEASURED = ("quality_score", "answer_score", "question_length", "answer_length")
 
 
+def exact_mean(x: Column) -> Column:
+    """The mean of numbers of up to six decimals, the same in whatever order they are summed."""
+    total = F.sum(F.round(x * 1_000_000).cast("decimal(20,0)")).cast("double")
+    return F.try_divide(total / 1_000_000, F.count(x))
+
+
 def _moments() -> list[Column]:
     out = [F.count(F.lit(1)).alias("count")]
     for c in _MEASURED:
         x = F.col(c).cast("double")
-        out += [F.avg(x).alias(f"{c}_mean"), F.stddev_samp(x).alias(f"{c}_std")]
+        out += [exact_mean(x).alias(f"{c}_mean"), F.stddev_samp(x).alias(f"{c}_std")]
     return out
 
 

@@ -114,20 +114,21 @@ def common_texts(df: DataFrame, k: int = 5, few: int = FEW_VALUES) -> DataFrame:
     counted = _distinct_texts(df, texts)
     small = counted.groupBy("column").agg(F.count(F.lit(1)).alias("distinct")).where(
         F.col("distinct") < few).select("column")
-    # Fewer than ``few`` keys per column are left here, so one group is never large.
+    # Fewer than ``few`` keys per column are left here, so one group is never large. All that are
+    # tied with the k-th are kept until their texts are known.
     ranked = counted.join(F.broadcast(small), "column").groupBy("column").agg(
-        F.slice(F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("minus_n"), "key"))), 1, k)
-        .alias("top"))
-    top = ranked.select("column", F.inline("top")).select(
-        "column", "key", (-F.col("minus_n")).alias("n"))
-    digests = F.broadcast(top.where(F.col("key").startswith("sha256:")).select("column", "key"))
+        F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("minus_n"), "key"))).alias("all"))
+    kth = F.element_at("all", F.least(F.lit(k), F.size("all")))["minus_n"]
+    likely = ranked.select("column", F.inline(F.filter("all", lambda x: x["minus_n"] <= kth)))
+    digests = F.broadcast(likely.where(F.col("key").startswith("sha256:")).select("column", "key"))
     read_back = (
         _text_values(df, texts).withColumn("key", _short_key(F.col("value")))
         .join(digests, ["column", "key"]).groupBy("column", "key").agg(F.min("value").alias("whole"))
     )
-    # At most k rows per column.
-    return top.join(F.broadcast(read_back), ["column", "key"], "left").select(
-        "column", F.coalesce("whole", "key").alias("value"), "n")
+    found = likely.join(F.broadcast(read_back), ["column", "key"], "left").groupBy("column").agg(
+        F.array_sort(F.collect_list(F.struct("minus_n", F.coalesce("whole", "key").alias("value")))).alias("all"))
+    return found.select("column", F.inline(F.slice("all", 1, k))).select(
+        "column", "value", (-F.col("minus_n")).alias("n"))
 
 
 def dataset_info(df: DataFrame) -> DataFrame:
@@ -185,7 +186,7 @@ def declared_expectations(
     return rules
 
 
-def table_expectations(min_rows: int = D.MIN_ROWS, max_rows: int = D.MAX_ROWS) -> list[Expectation]:
+def table_expectations(min_rows: int = D.MIN_ROWS, max_rows: int | None = D.MAX_ROWS) -> list[Expectation]:
     """The ten rules of the expectation suite."""
     keys = D.CRITICAL_COLUMNS
     return [

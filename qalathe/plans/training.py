@@ -12,8 +12,6 @@ from .bias import ARRAY_DIMENSIONS, SCALAR_DIMENSIONS, dimension_order
 
 # Hex digits of the shuffle key that name a bucket: 65,536 buckets, at most that many totals.
 BUCKET_DIGITS = 4
-MAX_STRATA = 100_000
-SALTS = 64
 
 
 # --- oversampling ---------------------------------------------------------------------
@@ -97,30 +95,27 @@ def train_test_split(
 ) -> DataFrame:
     """Adds ``split``: the first floor(n * (1 - test_ratio)) rows in a seeded shuffle are train.
 
-    The shuffle order is the digest of seed and key, rows of one key in reading order. Only the
-    digest at the cut is needed, so no row is moved: bucket totals tell where the cut falls,
-    the digests of that bucket are ranked, and one digest per stratum is handed to all tasks.
-    Above MAX_STRATA strata the cuts are joined by shuffle instead, large strata salted.
+    The shuffle order is the digest of seed and key, then the digest of the whole row, so it
+    follows from content alone, whatever plan the rows come from. No row is moved: bucket totals
+    tell where the cut falls, and the digests of that bucket are ranked. Only where the cut falls
+    among rows of one key are whole rows looked at. Rows that are equal in everything are told
+    apart by nothing; where the cut falls among those, it is made by count.
     """
-    few = stratify_by is None or _few_strata(df, stratify_by)
-
-    def per_stratum(cuts: DataFrame) -> DataFrame:
-        return F.broadcast(cuts) if few else cuts  # one row per stratum
-
-    parts = [F.col(c).cast("string") for c in ([key] if isinstance(key, str) else key) if c in df.columns]
+    keys = [key] if isinstance(key, str) else [c for c in key if c in df.columns]
+    parts = [F.col(c).cast("string") for c in keys]
+    whole = F.md5(F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"}))
     marked = df.withColumns({
         "_key": F.md5(F.concat_ws(":", F.lit(str(seed)), *parts)),
-        "_row": F.monotonically_increasing_id(),
         "_stratum": F.lit("") if stratify_by is None else F.coalesce(
             F.col(stratify_by).cast("string"), F.lit("\x00")),
     })
-    keys = marked.select("_stratum", "_key", "_row", F.substring("_key", 1, BUCKET_DIGITS).alias("_bucket"))
+    places = marked.select("_stratum", "_key", F.substring("_key", 1, BUCKET_DIGITS).alias("_bucket"))
 
     def reached(amount: str, *by: str, order: str) -> Column:
         return F.sum(amount).over(Window.partitionBy(*by).orderBy(order))
 
     # Level 1, at most 65,536 totals per stratum: the bucket of the cut.
-    buckets = keys.groupBy("_stratum", "_bucket").agg(F.count(F.lit(1)).alias("_n"))
+    buckets = places.groupBy("_stratum", "_bucket").agg(F.count(F.lit(1)).alias("_n"))
     everything = Window.partitionBy("_stratum")
     cut_bucket = (
         buckets.withColumns({
@@ -129,48 +124,44 @@ def train_test_split(
         .where((F.col("_train") > F.col("_upto") - F.col("_n")) & (F.col("_train") <= F.col("_upto")))
         .select("_stratum", "_bucket", (F.col("_train") - F.col("_upto") + F.col("_n")).alias("_want"))
     )
-    # Level 2, the digests of one bucket, copies already counted into one row: the digest of the cut.
-    in_bucket = keys.join(per_stratum(cut_bucket), ["_stratum", "_bucket"]).groupBy(
-        "_stratum", "_bucket", "_key", "_want").agg(F.count(F.lit(1)).alias("_n"))
-    cut = (
-        in_bucket.withColumn("_upto", reached("_n", "_stratum", "_bucket", order="_key"))
-        .where((F.col("_want") > F.col("_upto") - F.col("_n")) & (F.col("_want") <= F.col("_upto")))
-        .select("_stratum", F.col("_key").alias("_cut_key"), "_n",
-                (F.col("_want") - F.col("_upto") + F.col("_n")).alias("_want"))
-    )
-    # Level 3, only where copies of one key lie on both sides: the reading partition, then the row.
-    torn = cut.where(F.col("_want") < F.col("_n")).select("_stratum", F.col("_cut_key").alias("_key"), "_want")
-    copies = keys.join(per_stratum(torn), ["_stratum", "_key"]).withColumn("_part", F.shiftright("_row", 33))
-    cut_part = (
-        copies.groupBy("_stratum", "_part", "_want").agg(F.count(F.lit(1)).alias("_n"))
-        .withColumn("_upto", reached("_n", "_stratum", order="_part"))
-        .where((F.col("_want") > F.col("_upto") - F.col("_n")) & (F.col("_want") <= F.col("_upto")))
-        .select("_stratum", "_part", (F.col("_want") - F.col("_upto") + F.col("_n")).alias("_rank"))
-    )
-    cut_row = (
-        copies.join(per_stratum(cut_part), ["_stratum", "_part"])
-        .withColumn("_nth", F.row_number().over(Window.partitionBy("_stratum", "_part").orderBy("_row")))
-        .where(F.col("_nth") == F.col("_rank")).select("_stratum", F.col("_row").alias("_cut_row"))
+    # Level 2, the digests of one bucket, copies already counted into one: the digest of the cut.
+    in_bucket = places.groupBy("_stratum", "_bucket", "_key").agg(F.count(F.lit(1)).alias("_n")).join(
+        cut_bucket, ["_stratum", "_bucket"])
+
+    def cut_of(counted: DataFrame, place: str) -> DataFrame:
+        """(stratum, cut, rows at the cut, how many of them train) from counts per ``place``."""
+        return (
+            counted.withColumn("_upto", reached("_n", "_stratum", order=place))
+            .where((F.col("_want") > F.col("_upto") - F.col("_n")) & (F.col("_want") <= F.col("_upto")))
+            .select("_stratum", F.col(place).alias(f"_cut{place}"), F.col("_n").alias(f"_at{place}"),
+                    (F.col("_want") - F.col("_upto") + F.col("_n")).alias(f"_take{place}"))
+        )
+
+    cuts = cut_of(in_bucket, "_key")
+    one = (lambda few: few) if stratify_by else F.broadcast  # without strata these are one row at most
+    # Level 3, only where the cut lies among rows of one key: the digest of the whole row.
+    torn = cuts.where("_take_key < _at_key").select("_stratum", F.col("_cut_key").alias("_key"), F.col("_take_key").alias("_want"))
+    tied = marked.join(one(torn), ["_stratum", "_key"]).withColumn("_whole", whole)
+    inner = cut_of(tied.groupBy("_stratum", "_whole", "_want").agg(F.count(F.lit(1)).alias("_n")), "_whole")
+    both = cuts.join(one(inner), "_stratum", "left")
+    if stratify_by is None:
+        placed = beside(marked, both.drop("_stratum"))
+    else:
+        placed = marked.join(both, "_stratum", "left")
+    at_cut = (F.col("_key") == F.col("_cut_key")) & F.col("_cut_whole").isNotNull()
+    train = F.when(at_cut, whole <= F.col("_cut_whole")).otherwise(F.col("_key") <= F.col("_cut_key"))
+    cloven = F.when(at_cut, (whole == F.col("_cut_whole")) & (F.col("_take_whole") < F.col("_at_whole")))
+    clear = placed.where(~F.coalesce(cloven, F.lit(False))).withColumn(
+        "split", F.when(train, "train").otherwise("test"))
+    # Equal rows on both sides of the cut: one of them, as often as there are; the first ones train.
+    again = (
+        tied.join(one(inner.where("_take_whole < _at_whole")), "_stratum").where("_whole = _cut_whole")
+        .groupBy("_stratum").agg(
+            F.first(F.struct(*df.columns)).alias("_row"), F.first("_at_whole").alias("_n"), F.first("_take_whole").alias("_take"))
+        .select("_row", "_take", F.explode(F.sequence(F.lit(1).cast("long"), "_n")).alias("_nth"))
+        .select("_row.*", F.when(F.col("_nth") <= F.col("_take"), "train").otherwise("test").alias("split"))
     )
-    cuts = cut.join(per_stratum(cut_row), "_stratum", "left").select("_stratum", "_cut_key", "_cut_row")
-    on = ["_stratum"]
-    if not few:
-        on = ["_stratum", "_salt"]
-        marked = marked.withColumn("_salt", F.pmod(F.spark_partition_id(), F.lit(SALTS)))
-        cuts = cuts.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    before = F.col("_key") < F.col("_cut_key")
-    at_cut = (F.col("_key") == F.col("_cut_key")) & (
-        F.col("_cut_row").isNull() | (F.col("_row") <= F.col("_cut_row")))
-    return (
-        marked.join(per_stratum(cuts), on, "left")
-        .withColumn("split", F.when(before | at_cut, "train").otherwise("test"))
-        .drop("_key", "_row", "_stratum", "_salt", "_cut_key", "_cut_row")
-    )
-
-
-def _few_strata(df: DataFrame, column: str) -> bool:
-    """Whether the strata are few enough to hand their cuts to every task."""
-    return df.select(column).distinct().limit(MAX_STRATA + 1).count() <= MAX_STRATA
+    return clear.select(*df.columns, "split").unionByName(again)
 
 
 # --- formats --------------------------------------------------------------------------

@@ -1,5 +1,7 @@
 """Session helpers: a local session for tests and the shared folder for work tables."""
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -26,14 +28,19 @@ def local_session(cpus: str = "8", app: str = "qalathe") -> SparkSession:
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share, as the session names it in ``spark.checkpoint.dir``.
 
-    Only where nothing is set (tests on one machine) a temporary folder takes its place.
+    Where nothing is set, a temporary folder takes its place on a local master, until the process
+    ends. Anywhere else that is an error: executors would each write to a disk of their own.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named
     made = spark.sparkContext.getCheckpointDir()
     if made is None:
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="qalathe-"))
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        folder = tempfile.mkdtemp(prefix="qalathe-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        spark.sparkContext.setCheckpointDir(folder)
         made = spark.sparkContext.getCheckpointDir()
     return made
 

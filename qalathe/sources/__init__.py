@@ -8,7 +8,6 @@ from .readers import (  # noqa: F401
     read_answers_csv,
     read_json_array,
     read_questions_csv,
-    spread_small_scan,
 )
 from .writers import (  # noqa: F401
     flat_for_csv,

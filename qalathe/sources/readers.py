@@ -13,15 +13,15 @@ from .. import schemas as S
 POSITION = "_pos"
 
 
-def _csv_by_header(spark: SparkSession, path, columns) -> DataFrame:
+def _csv_by_header(spark: SparkSession, path, columns, multi_line: bool = True) -> DataFrame:
     """All-text CSV rows found by header name, with their place in the input as ``_pos``.
 
-    A field may hold line breaks, so Spark reads a file as one split: a large dump must come
-    as many files. Row numbers grow within a split and paths order the files, so ``_pos``
+    A field may hold line breaks; Spark then reads a file as one split, and a large dump must come
+    as many files. Without ``multi_line`` large files split. Row numbers grow within a split and paths order the files, so ``_pos``
     stands for file order however the files are packed into tasks.
     """
     raw = spark.read.csv(
-        path, header=True, inferSchema=False, multiLine=True,
+        path, header=True, inferSchema=False, multiLine=multi_line,
         quote='"', escape='"', encoding="UTF-8", mode="PERMISSIVE",
     )
     present = set(raw.columns)
@@ -36,12 +36,12 @@ def _csv_by_header(spark: SparkSession, path, columns) -> DataFrame:
     return raw.select(*fields, place.alias(POSITION))
 
 
-def read_questions_csv(spark: SparkSession, path) -> DataFrame:
-    return _csv_by_header(spark, path, S.QUESTION_CSV_COLUMNS)
+def read_questions_csv(spark: SparkSession, path, multi_line: bool = True) -> DataFrame:
+    return _csv_by_header(spark, path, S.QUESTION_CSV_COLUMNS, multi_line)
 
 
-def read_answers_csv(spark: SparkSession, path) -> DataFrame:
-    return _csv_by_header(spark, path, S.ANSWER_CSV_COLUMNS)
+def read_answers_csv(spark: SparkSession, path, multi_line: bool = True) -> DataFrame:
+    return _csv_by_header(spark, path, S.ANSWER_CSV_COLUMNS, multi_line)
 
 
 def read_json_array(spark: SparkSession, path, schema: T.StructType, lines: bool = False) -> DataFrame:
@@ -107,13 +107,3 @@ def first_available(spark: SparkSession, *candidates: str) -> DataFrame:
 def optional_json(spark: SparkSession, path, schema: T.StructType) -> DataFrame | None:
     """A JSON Lines report where one was written, else None."""
     return _exists(lambda: spark.read.schema(schema).json(path))
-
-
-def spread_small_scan(df: DataFrame) -> DataFrame:
-    """A table that comes in fewer splits than there are task slots, dealt out over the slots.
-
-    Heavy work per row would leave slots idle otherwise. A large table has splits enough and
-    is left as it is, so nothing of size is ever shuffled here.
-    """
-    slots = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(slots) if df.rdd.getNumPartitions() < slots else df

@@ -164,6 +164,11 @@ def _metrics(table: str, least: int) -> str:
 FROM mem GROUP BY dimension, value HAVING count(*) >= {least}"""
 
 
+def _exact(c: str) -> str:
+    """The mean from an exact sum, so that it does not hang on the order of the rows."""
+    return f"CAST(sum(CAST(round({c} * 1000000) AS HUGEINT)) AS DOUBLE) / CAST(1000000 AS DOUBLE) / count({c})"
+
+
 def _judged(least=30, limit=0.25, length=0.5, proportion=0.005, count=20) -> str:
     def factor(i, x, o, lim, up, down, name):
         ratio = f"abs({x} - {o}) / {o}"
@@ -172,9 +177,9 @@ def _judged(least=30, limit=0.25, length=0.5, proportion=0.005, count=20) -> str
   CASE WHEN {x} > {o} THEN '{up}' ELSE '{down}' END AS direction{i}, '{name}' AS name{i}"""
 
     return f"""raw AS (SELECT dimension, value, any_value(slice) AS slice, count(*) AS n,
-   avg(quality_score) AS q, CAST(avg(al) AS DOUBLE) AS l, count(*) / (SELECT count(*) FROM qa) AS p
+   {_exact('quality_score')} AS q, CAST(avg(al) AS DOUBLE) AS l, count(*) / (SELECT count(*) FROM qa) AS p
    FROM mem GROUP BY dimension, value HAVING count(*) >= {least}),
-o AS (SELECT avg(quality_score) AS oq, CAST(avg(length(answer_body)) AS DOUBLE) AS ol FROM qa),
+o AS (SELECT {_exact('quality_score')} AS oq, CAST(avg(length(answer_body)) AS DOUBLE) AS ol FROM qa),
 factored AS (SELECT *, {factor(1, 'q', 'oq', limit, 'higher', 'lower', 'quality_score')},
    {factor(2, 'l', 'ol', length, 'longer', 'shorter', 'answer_length')},
    CASE WHEN p < {proportion} AND n < {count} THEN 1 ELSE 0 END AS f3 FROM raw, o),

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from qalathe import functions as fx
@@ -10,7 +10,7 @@ from qalathe.operators import best_first
 from qalathe.plans import preprocess as plan
 
 from . import working as W
-from .working import given, given_wide, qa_base, qa_processed
+from .working import given, given_wide, qa_base, qa_processed, stage_table
 
 
 def _joined(c: str):
@@ -48,7 +48,13 @@ def dropped_rows(spark, sf_dir):
 
 
 def best_pairs_first(spark, sf_dir):
-    return best_first(qa_processed(spark, sf_dir)).select("question_id", "quality_score")
+    """The sorted table as it is read back: its rank is its place in the files."""
+    table = stage_table(spark, best_first(qa_processed(spark, sf_dir)).select("question_id", "quality_score"), "sorted")
+    rows = table.select("*", F.col("_metadata.file_name").alias("file"), F.col("_metadata.row_index").alias("row"))
+    files = rows.groupBy("file").agg(F.count("*").alias("n"))  # few
+    before = F.coalesce(F.sum("n").over(Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    return rows.join(files.select("file", before.alias("before")), "file").select(
+        "question_id", "quality_score", (F.col("before") + F.col("row") + 1).alias("rank"))
 
 
 def feature_statistics(spark, sf_dir):
@@ -176,7 +182,7 @@ judged AS (
 SELECT CASE WHEN rule = 'none' THEN 'kept' ELSE 'invalid_or_short' END AS reason, rule, count(*) AS n
 FROM judged GROUP BY ALL""",
     "best_pairs_first": W.with_qa(
-        "SELECT question_id, quality_score FROM qa ORDER BY quality_score DESC, question_id"),
+        "SELECT question_id, quality_score, row_number() OVER (ORDER BY quality_score DESC, question_id) AS rank FROM qa"),
     "feature_statistics": W.with_qa("""
 SELECT feature, value, count(*) AS n, CAST(NULL AS DOUBLE) AS mean
 FROM (SELECT 'error_signatures' AS feature, unnest(error_signatures) AS value FROM qa

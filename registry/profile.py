@@ -45,8 +45,16 @@ def common_order_values(spark, sf_dir):
 
 
 def table_info(spark, sf_dir):
-    turns = given(spark, sf_dir, "conversations").select("role", F.array("role", "role").alias("pair"))
-    return plan.dataset_info(turns)
+    """Whole turns, with a nested column, each twice for every third conversation."""
+    turns = given(spark, sf_dir, "conversations").withColumn("pair", F.array("role", "text"))
+    return plan.dataset_info(turns.unionByName(turns.where("conv_id % 3 = 0")))
+
+
+def common_long_values(spark, sf_dir):
+    """Long values with equal counts: more of them are tied than wanted."""
+    orders = given(spark, sf_dir, "orders").where("o_orderkey % 17 < 12").select(
+        "o_orderkey", F.concat(F.repeat(F.lit("delivery note of the class "), 4), F.chr(97 + F.col("o_orderkey") % 17)).alias("note"))
+    return plan.common_texts(orders.select("note").distinct(), k=5)
 
 
 def document_copies(spark, sf_dir):
@@ -86,6 +94,7 @@ QUERIES = {
     "label_profile": label_profile,
     "common_values": common_values,
     "common_order_values": common_order_values,
+    "common_long_values": common_long_values,
     "table_info": table_info,
     "document_copies": document_copies,
     "declared_schema_checks": declared_checks,
@@ -216,8 +225,14 @@ WITH d AS (SELECT documents.doc_id, text, lang, quality, toxic, CAST(NULL AS DOU
 WITH o AS (SELECT *, repeat('status of the order ', 5) || o_orderstatus AS long_status FROM orders)
 """ + _common_sql("o", ("o_orderstatus", "o_orderpriority", "long_status")),
     "table_info": """
-SELECT count(*) AS row_count, CAST(2 AS BIGINT) AS column_count, 'role,pair' AS "columns",
-       count(*) - count(DISTINCT role) AS duplicate_rows FROM conversations""",
+WITH t AS (SELECT *, [role, text] AS pair FROM conversations),
+u AS (SELECT * FROM t UNION ALL SELECT * FROM t WHERE conv_id % 3 = 0)
+SELECT count(*) AS row_count, CAST(5 AS BIGINT) AS column_count, 'conv_id,turn,role,text,pair' AS "columns",
+       count(*) - (SELECT count(*) FROM (SELECT DISTINCT * FROM u)) AS duplicate_rows FROM u""",
+    "common_long_values": """
+SELECT DISTINCT 'note' AS "column", repeat('delivery note of the class ', 4) || chr(CAST(97 + o_orderkey % 17 AS INT)) AS value,
+       CAST(1 AS BIGINT) AS n
+FROM orders WHERE o_orderkey % 17 < 12 ORDER BY value LIMIT 5""",
     "document_copies": """
 SELECT (SELECT count(*) FROM documents) AS row_count, CAST(2 AS BIGINT) AS column_count,
        'text,lang' AS "columns",
@@ -259,6 +274,7 @@ COVERS = {
     "label_profile": ("A16", "A17", "A18"),
     "common_values": ("A18", "O2"),
     "common_order_values": ("A18", "O2"),
+    "common_long_values": ("A18", "O2"),
     "table_info": ("A19",),
     "document_copies": ("A19",),
     "declared_schema_checks": ("C6", "C7", "C8", "C9", "C10", "C11"),

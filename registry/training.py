@@ -49,10 +49,16 @@ def split_rows(spark, sf_dir):
 
 
 def split_copies(spark, sf_dir):
-    """Orders share a customer: the cut falls among copies of one key, sizes must stay exact."""
-    orders = given(spark, sf_dir, "orders").select("o_orderpriority")
+    """Orders share a priority: the cut falls among rows of one key, in whatever plan they come."""
+    orders = given(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority").repartition(7)
+    return plan.train_test_split(orders, key="o_orderpriority", test_ratio=0.3)
+
+
+def split_equal_rows(spark, sf_dir):
+    """Rows that are equal in everything: the cut is made by count."""
+    orders = given(spark, sf_dir, "orders").select("o_orderpriority").repartition(5)
     out = plan.train_test_split(orders, key="o_orderpriority", test_ratio=0.3)
-    return out.groupBy("split").agg(F.count("*").alias("n"))
+    return out.groupBy("o_orderpriority", "split").agg(F.count("*").alias("n"))
 
 
 def stratified_split(spark, sf_dir):
@@ -129,6 +135,7 @@ QUERIES = {
     "score_range": score_range,
     "split_rows": split_rows,
     "split_among_copies": split_copies,
+    "split_of_equal_rows": split_equal_rows,
     "stratified_split": stratified_split,
     "chat_messages": chat_messages,
     "chat_metadata": chat_metadata,
@@ -192,9 +199,12 @@ FROM resampled GROUP BY copy""", _RESAMPLED),
     "score_range": W.with_qa("SELECT min(quality_score) AS low, max(quality_score) AS high FROM qa"),
     "split_rows": _split("(SELECT l_orderkey, l_linenumber FROM lineitem)", "l_orderkey || ':' || l_linenumber",
                          "1 - 0.2"),
-    "split_among_copies": """
-SELECT 'train' AS split, CAST(floor(count(*) * CAST(1 - 0.3 AS DOUBLE)) AS BIGINT) AS n FROM orders
-UNION ALL SELECT 'test', count(*) - CAST(floor(count(*) * CAST(1 - 0.3 AS DOUBLE)) AS BIGINT) FROM orders""",
+    "split_among_copies": _split(
+        "(SELECT o_orderkey, o_orderpriority FROM orders)",
+        "o_orderpriority || '') || md5('{\"o_orderkey\":' || o_orderkey || ',\"o_orderpriority\":\"' || o_orderpriority || '\"}'",
+        "1 - 0.3"),
+    "split_of_equal_rows": "SELECT o_orderpriority, split, count(*) AS n FROM (" + _split(
+        "(SELECT o_orderpriority FROM orders)", "o_orderpriority", "1 - 0.3") + ") GROUP BY ALL",
     "stratified_split": _split("(SELECT doc_id, source FROM documents)", "doc_id", "1 - 0.25", "source"),
     "chat_messages": W.with_qa(f"""
 SELECT question_id, split, CAST(0 AS BIGINT) AS pos, 'system' AS role, md5('{_SYSTEM}') AS content_md5 FROM split_qa
@@ -233,6 +243,7 @@ COVERS = {
     "score_range": ("A28",),
     "split_rows": ("T4", "W5"),
     "split_among_copies": ("T4", "W5"),
+    "split_of_equal_rows": ("T4", "W5"),
     "stratified_split": ("T4", "W5"),
     "chat_messages": ("T3", "T6"),
     "chat_metadata": ("T3",),

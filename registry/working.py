@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from qalathe.plans.preprocess import preprocess
 from qalathe.session import fresh_path
-from qalathe.sources import spread_small_scan, write_table
+from qalathe.sources import write_table
 
 RUN_TIME = datetime.datetime(2024, 1, 1)
 
@@ -65,14 +65,13 @@ def given(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def given_wide(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
-    """Columns of a table for work that is heavy per row, see :func:`spread_small_scan`."""
     table = given(spark, sf_dir, name)
-    return spread_small_scan(table.select(*columns) if columns else table)
+    return table.select(*columns) if columns else table
 
 
 def over_documents(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
     return spark.sql(sql.replace("FROM documents", "FROM {documents}"),
-                     documents=spread_small_scan(given(spark, sf_dir, "documents")))
+                     documents=given(spark, sf_dir, "documents"))
 
 
 def qa_base(spark: SparkSession, sf_dir: str) -> DataFrame:

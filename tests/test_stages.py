@@ -33,6 +33,18 @@ def test_chain(spark, tmp_path, n, valid, output_format):
     assert spark.read.json(place["expectations"]).count() == 10
 
 
+def test_a_rerun_follows_its_own_verdict(spark, tmp_path):
+    run_stages(spark, pairs(spark, 150), str(tmp_path), AT, min_samples=1)
+    place = run_stages(spark, pairs(spark, 20), str(tmp_path), AT + datetime.timedelta(days=1), min_samples=1, max_rows=None)
+    assert spark.read.parquet(place["training_rows"]).count() == 20
+    assert spark.read.parquet(place["validated"]).count() == 150
+    first, second = (spark.read.parquet(f"{place['history']}/{k}/rows").count() for k in (0, 1))
+    assert second == first + spark.read.json(place["alerts"]).select("timestamp", "type", "title").distinct().count()
+    for name in ("text_statistics", "categories", "tags", "common_texts", "dataset_info", "feature_statistics",
+                 "shares", "bias_metrics"):
+        assert spark.read.json(place[name]).count() > 0, name
+
+
 def test_chain_from_csv(spark, tmp_path):
     questions = ["Id,Title,Body,Score,AcceptedAnswerId,Tags,ViewCount,CreationDate"]
     answers = ["AnswerId,QuestionId,AnswerBody,AnswerScore"]

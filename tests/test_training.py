@@ -73,6 +73,27 @@ def test_split_is_exact_among_copies(spark, ratio):
     assert sum(r.split == "train" for r in out) == int(3000 * (1 - ratio))
 
 
+@pytest.mark.parametrize("parts", [1, 4, 7])
+def test_split_of_equal_rows_in_any_plan(spark, parts):
+    df = spark.range(0, 3000, numPartitions=3).selectExpr("CAST(id % 5 AS STRING) AS question_id").repartition(parts)
+    got = {(r.question_id, r.split): r["count"] for r in T.train_test_split(df, 0.7).groupBy("question_id", "split").count().collect()}
+    assert sum(n for (_, split), n in got.items() if split == "train") == 900
+    assert sum(got.values()) == 3000 and len(got) == 6
+
+
+@pytest.mark.parametrize("parts", [1, 4, 7])
+def test_split_among_rows_of_one_key_in_any_plan(spark, parts):
+    df = spark.range(0, 3000).selectExpr("id % 5 AS question_id", "id").repartition(parts)
+    train = {r.id for r in T.train_test_split(df, 0.7).where("split = 'train'").collect()}
+    again = {r.id for r in T.train_test_split(df.coalesce(1), 0.7).where("split = 'train'").collect()}
+    assert len(train) == 900 and train == again
+
+
+def test_split_of_nothing(spark):
+    empty = spark.range(0).selectExpr("id AS question_id")
+    assert T.train_test_split(empty).columns == ["question_id", "split"] and T.train_test_split(empty).isEmpty()
+
+
 def test_split_by_stratum(spark):
     df = spark.range(0, 1000, numPartitions=4).selectExpr("id AS question_id", "IF(id < 900, 'big', IF(id < 999, 'mid', NULL)) AS s")
     got = {(r.s, r.split): r["count"] for r in T.train_test_split(df, 0.3, stratify_by="s").groupBy("s", "split").count().collect()}
@@ -104,8 +125,7 @@ def test_options_and_statistics(spark):
         T.training_examples(df, "table")
 
 
-def test_split_over_many_strata(spark, monkeypatch):
-    monkeypatch.setattr(T, "MAX_STRATA", 10)
+def test_split_over_many_strata(spark):
     df = spark.range(0, 3000, numPartitions=4).selectExpr("id AS question_id", "IF(id % 3 = 0, 0, id % 60) AS s")
     got = {(r.s, r.split): r["count"] for r in T.train_test_split(df, 0.25, stratify_by="s").groupBy("s", "split").count().collect()}
     sizes = {}

@@ -226,10 +226,8 @@ def encode(docs: DataFrame, path: str, pattern: str, text: str = "text", offsets
                 added = [pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(ids, pa.int32()))]
             yield pa.RecordBatch.from_arrays([*part.columns, *added], [*part.schema.names, *names])
 
-    schema = base.schema
-    for name in names:
-        schema = schema.add(name, T.ArrayType(T.IntegerType()))
-    return base.mapInArrow(batches, schema)
+    added = [T.StructField(name, T.ArrayType(T.IntegerType())) for name in names]
+    return base.mapInArrow(batches, T.StructType([*base.schema.fields, *added]))
 
 
 def decode(tokens: DataFrame, path: str, ids: str = "ids") -> DataFrame:
@@ -243,7 +241,7 @@ def decode(tokens: DataFrame, path: str, ids: str = "ids") -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [*part.columns, pa.array(rows, type=pa.binary())], [*part.schema.names, "decoded"])
 
-    return base.mapInArrow(batches, base.schema.add("decoded", "binary"))
+    return base.mapInArrow(batches, T.StructType([*base.schema.fields, T.StructField("decoded", T.BinaryType())]))
 
 
 def round_trip(docs: DataFrame, path: str, pattern: str, text: str = "text", doc_id: str = "doc_id") -> DataFrame:

@@ -87,6 +87,7 @@ def text_features(texts: pa.Array) -> np.ndarray:
         np.log1p(size / n_lines), np.log1p(n_lines),
         ta.distinct_counts(line_doc, ta.span_hashes(data, line_start, line_end), n) / n_lines,
     ], axis=1)
+    out[size == 0] = 0
     return out
 
 

@@ -1,4 +1,4 @@
-"""HTML expressions. Entity decoding is the one place that needs Python."""
+"""HTML expressions. Only unusual entities need Python."""
 
 import html
 
@@ -9,6 +9,14 @@ from pyspark.sql import functions as F
 from .text import _text, squeeze
 
 
+# Names of HTML with their characters. The ampersand is decoded last.
+USUAL_ENTITIES = {
+    "lt": "<", "gt": ">", "quot": '"', "apos": "'", "#39": "'", "#34": '"', "nbsp": "\u00a0", "copy": "\u00a9",
+    "reg": "\u00ae", "middot": "\u00b7", "ndash": "\u2013", "mdash": "\u2014", "lsquo": "\u2018", "rsquo": "\u2019",
+    "ldquo": "\u201c", "rdquo": "\u201d", "hellip": "\u2026", "amp": "&",
+}
+
+
 def _entity_decoder():
     unescape = html.unescape
 
@@ -22,12 +30,21 @@ def _entity_decoder():
 def clean_html(c) -> Column:
     """Tags become spaces, then entities are decoded, then white space is squeezed.
 
-    Only texts that hold an ampersand travel to the Python workers; the others are null there.
+    Usual entities are replaced in place. Only texts with others, or with names that lack their
+    semicolon, travel to the Python workers; the rest are null there.
     """
     stripped = F.regexp_replace(_text(c), "<[^>]+>", " ")
-    has_entity = F.contains(stripped, F.lit("&"))
-    decoded = _entity_decoder()(F.when(has_entity, stripped))
-    return squeeze(F.coalesce(decoded, stripped))
+    decoded = _entity_decoder()(F.when(~has_usual_entities_only(stripped), stripped))
+    usual = stripped
+    for name, character in USUAL_ENTITIES.items():
+        usual = F.replace(usual, F.lit(f"&{name};"), F.lit(character))
+    return squeeze(F.coalesce(decoded, usual))
+
+
+def has_usual_entities_only(text: Column) -> Column:
+    """True where every ampersand begins a usual entity or can begin none."""
+    known = "|".join(USUAL_ENTITIES)
+    return ~F.regexp_replace(text, f"&(?:{known});", "").rlike("&[#A-Za-z]")
 
 
 def tag_list(c) -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 # A key with at least this many rows is spread over several tasks.
@@ -10,22 +10,22 @@ HOT_ROWS = 1_000_000
 FAN_OUT = 64
 
 
-def _one_per_key(df: DataFrame, keys, position: str, pick) -> DataFrame:
+def _one_per_key(df: DataFrame, keys, position: str, order) -> DataFrame:
     keys = [keys] if isinstance(keys, str) else list(keys)
     rest = [c for c in df.columns if c not in keys and c != position]
-    chosen = pick(F.struct(*rest), F.col(position)).alias("_row")
-    return df.groupBy(*keys).agg(chosen).select(*keys, "_row.*")
+    by_key = Window.partitionBy(*keys).orderBy(order(position))
+    return df.withColumn("_nth", F.row_number().over(by_key)).where("_nth = 1").select(*keys, *rest)
 
 
 def last_per_key(df: DataFrame, keys, position: str = "_pos") -> DataFrame:
-    """The last row of each key. Aggregates on the map side, so copies of one key collapse
-    before the shuffle and no task ever holds all of them."""
-    return _one_per_key(df, keys, position, F.max_by)
+    """The last row of each key. The window is limited to its first row on the map side already,
+    so a task sends one row of a key, and none ever holds all of them."""
+    return _one_per_key(df, keys, position, F.desc)
 
 
 def first_per_key(df: DataFrame, keys, position: str = "_pos") -> DataFrame:
     """The first row of each key; see :func:`last_per_key`."""
-    return _one_per_key(df, keys, position, F.min_by)
+    return _one_per_key(df, keys, position, F.asc)
 
 
 def unique_lookup_join(

@@ -12,22 +12,24 @@ SALTS = 16
 
 _CUT_PROBS = ", ".join(f"{i / BUCKETS}D" for i in range(1, BUCKETS))
 
+# Where groups are as few as columns: the sketch's accuracy, and how far from a wanted share its
+# bracket's ends lie in units of the sketch's error.
+ACCURACY = 10_000
+REACH = (-4, -2, 2, 4)
+
 
 def _count_below(places) -> str:
     """How many of the given cut points lie below the value; a place past the end counts as none."""
     return " + ".join(f"int(coalesce(get(_cuts, {p}) < _v, false))" for p in places)
 
 
-def _placed(counted: DataFrame, bounds: DataFrame, keys: list[str], few_groups: bool) -> DataFrame:
+def _placed(counted: DataFrame, bounds: DataFrame, keys: list[str]) -> DataFrame:
     """Each counted value with its bucket and the number of values in its group."""
-    if few_groups:
-        joined = counted.join(F.broadcast(bounds), keys)
-    else:
-        # A group may hold much of the table: its values are dealt over SALTS tasks, and its one
-        # row of cut points goes to each of them.
-        joined = counted.withColumn("_salt", F.expr(f"pmod(hash(_v), {SALTS})")).join(
-            bounds.withColumn("_salt", F.expr(f"explode(sequence(0, {SALTS - 1}))")),
-            [*keys, "_salt"])
+    # A group may hold much of the table: its values are dealt over SALTS tasks, and its one
+    # row of cut points goes to each of them.
+    joined = counted.withColumn("_salt", F.expr(f"pmod(hash(_v), {SALTS})")).join(
+        bounds.withColumn("_salt", F.expr(f"explode(sequence(0, {SALTS - 1}))")),
+        [*keys, "_salt"])
     run = _count_below(STEPS * i - 1 for i in range(1, STEPS))
     bucket = f"_run * {STEPS} + " + _count_below(f"_run * {STEPS} + {i}" for i in range(STEPS))
     return joined.withColumn("_run", F.expr(run)).select(
@@ -40,13 +42,16 @@ def exact_quantiles(
 ) -> DataFrame:
     """Quantiles by linear interpolation, one row per key group, one column per entry of ``probs``.
 
-    ``F.percentile`` gathers every distinct value of a group in one buffer. Here equal values
-    are first counted into one row each. Cut points from a bounded sketch then order those rows
-    into buckets; they only steer the balance, every count stays exact. Bucket totals tell
-    which buckets hold the wanted ranks, and only those rows are ranked.
+    ``F.percentile`` gathers every distinct value of a group in one buffer. Here cut points from a
+    bounded sketch order the values into buckets; they only steer the balance, every count stays
+    exact. Bucket totals tell which buckets hold the wanted ranks, and only those values are
+    ranked.
 
-    ``few_groups`` says that the groups are as few as the columns of a table, so that their cut
-    points may be broadcast. ``approximate`` takes the sketch's own answer in one pass.
+    ``few_groups`` says that the groups are as few as the columns of a table. Their cut points
+    are then broadcast and lie close around the wanted shares: three passes over the values,
+    of which only totals and about 4 / ACCURACY of the values per share are shuffled and ranked.
+    Otherwise equal values are counted into one row each first, and the cuts are even.
+    ``approximate`` takes the sketch's own answer in one pass.
     """
     values = df.select(*keys, F.col(value).cast("double").alias("_v")).where("_v IS NOT NULL")
     if approximate:
@@ -54,11 +59,20 @@ def exact_quantiles(
             F.approx_percentile("_v", F.lit(p)).alias(name) for name, p in probs.items()
         ])
 
-    counted = values.groupBy(*keys, "_v").agg(F.expr("count(1) AS _n"))
-    bounds = counted.groupBy(*keys).agg(
-        F.expr(f"approx_percentile(_v, array({_CUT_PROBS}), {4 * BUCKETS}) AS _cuts"),
-        F.expr("sum(_n) AS _total"))
-    placed = _placed(counted, bounds, keys, few_groups)
+    if few_groups:
+        shares = sorted({min(max(p + k / ACCURACY, 0.0), 1.0) for p in probs.values() for k in REACH}
+                        | {i / STEPS for i in range(1, STEPS)})
+        cut_shares = ", ".join(f"{x}D" for x in shares)
+        bounds = values.groupBy(*keys).agg(
+            F.expr(f"approx_percentile(_v, array({cut_shares}), {ACCURACY}) AS _cuts"), F.expr("count(1) AS _total"))
+        placed = values.withColumn("_n", F.lit(1).cast("long")).join(F.broadcast(bounds), keys).select(
+            *keys, "_v", "_n", "_total", F.expr(_count_below(range(len(shares)))).alias("_b"))
+    else:
+        counted = values.groupBy(*keys, "_v").agg(F.expr("count(1) AS _n"))
+        bounds = counted.groupBy(*keys).agg(
+            F.expr(f"approx_percentile(_v, array({_CUT_PROBS}), {4 * BUCKETS}) AS _cuts"),
+            F.expr("sum(_n) AS _total"))
+        placed = _placed(counted, bounds, keys)
 
     ranks = {name: f"({float(p)}D * (_total - 1))" for name, p in probs.items()}
     wanted = ", ".join(f"floor({r}), ceil({r})" for r in ranks.values())
@@ -72,7 +86,11 @@ def exact_quantiles(
     if few_groups:
         targets = F.broadcast(targets)  # at most two buckets per group and probability
     running = F.sum("_n").over(Window.partitionBy(*keys, "_b").orderBy("_v"))
-    hits = placed.join(targets, [*keys, "_b"]).withColumn("_upto", running + F.col("_before")).select(
+    wanted_rows = placed.join(targets, [*keys, "_b"])
+    if few_groups:
+        wanted_rows = wanted_rows.groupBy(*keys, "_b", "_v", "_total", "_before", "_ranks").agg(
+            F.expr("sum(_n) AS _n"))
+    hits = wanted_rows.withColumn("_upto", running + F.col("_before")).select(
         *keys, "_v", "_total",
         F.expr("explode(filter(_ranks, k -> k < _upto AND k >= _upto - _n)) AS _k"))
     # At most two entries per probability and key group.

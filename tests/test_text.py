@@ -6,6 +6,7 @@ import re
 import sys
 
 import pytest
+from pyspark.sql import functions as F
 
 from qalathe import defaults as D
 from qalathe import functions as fx
@@ -65,12 +66,12 @@ def test_code_removal(spark):
     assert column_values(spark, texts, fx.clean_text("t", remove_code=True)) == ["a b d", "`open"]
 
 
-def test_html(spark):
-    texts = [*random_texts(3), None, "", "<p>Hello <strong>World</strong></p>", "&lt;div&gt; &amp;amp; &#39;x&#39;"]
+def plain(t):
+    return squeeze(html.unescape(re.sub(r"<[^>]+>", " ", t))) if t else ""
 
-    def plain(t):
-        return squeeze(html.unescape(re.sub(r"<[^>]+>", " ", t))) if t else ""
 
+def test_html(spark):
+    texts = [*random_texts(3), None, "", "<p>Hello <strong>World</strong></p>", "&lt;div&gt; &amp;amp; &#39;x&#39;"]
     assert column_values(spark, texts, fx.clean_html("t")) == [plain(t) for t in texts]
     assert column_values(spark, ["<a><b c>", None, ""], fx.tag_list("t")) == [["a", "b c"], [], []]
     assert column_values(spark, ["x <div> y", "<DIV>", None, "<a href>"], fx.has_leftover_tags("t")) == [
@@ -125,3 +126,13 @@ def test_integers_from_text(spark):
 def test_comma_joined(spark):
     rows = spark.createDataFrame([(["a", "b"],), ([],), (None,)], "t array<string>")
     assert [r[0] for r in rows.select(fx.comma_joined("t")).collect()] == ["a, b", "", ""]
+
+
+def test_only_unusual_entities_reach_python(spark):
+    usual = ["a &amp; b", "&amp;lt; stays", "&&amp;&lt;", "5 & 6", "&", "&quot;x&#39;&nbsp;&copy;"]
+    other = ["&eacute;", "&ampfoo", "&#169;", "&copy2", "&unknown;"]
+    assert column_values(spark, usual + other, fx.html.has_usual_entities_only(F.col("t"))) == [True] * 6 + [False] * 5
+    assert column_values(spark, usual + other, fx.clean_html("t")) == [plain(t) for t in usual + other]
+    share = spark.read.parquet("/root/testdata/sf0.001/pages.parquet").agg(
+        F.avg(fx.html.has_usual_entities_only(F.regexp_replace("html", "<[^>]+>", " ")).cast("int"))).first()[0]
+    assert share > 0.99

@@ -26,12 +26,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 # Bytes of text that are encoded at once; a longer text is a batch of its own.
-CHUNK_BYTES = 8_000_000
+CHUNK_BYTES = 4_000_000
 # Units in one string, and which go there: a space, then nothing that any table counts as white space.
 JOINED = 500
 _ONE_SPACE = re.compile(r" [^\s\x00-\x20\x7f-\xa0\u1680\u180e\u2000-\u200f\u2028-\u202f\u205f-\u2060\u3000\ufeff]+").fullmatch
 # Units that a worker remembers between batches.
-KNOWN_UNITS = 400_000
+KNOWN_UNITS = 250_000
 
 
 def byte_characters() -> list[str]:
@@ -98,6 +98,20 @@ def byte_table(path: str) -> list[bytes]:
     return table
 
 
+def _word_ends(words: pa.Array, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Which words are empty, and which end in white space; only ends beyond ASCII are looked at as text."""
+    _, offsets, data = words.buffers()
+    bounds = np.frombuffer(offsets, np.int64)[words.offset:words.offset + len(words) + 1]
+    empty = bounds[1:] == bounds[:-1]
+    if data is None or not len(words):
+        return empty, np.zeros(len(words), bool)
+    byte = np.frombuffer(data, np.uint8)[np.maximum(bounds[1:] - 1, 0)]
+    blank = ~empty & (byte <= 0x20)
+    for k in np.flatnonzero(~empty & (byte >= 0x80)).tolist():
+        blank[k] = texts[k][-1].isspace()
+    return empty, blank
+
+
 class UnitEncoder:
     """Encodes many texts by encoding each distinct unit of them once.
 
@@ -162,9 +176,9 @@ class UnitEncoder:
         number = self._numbers([w if w[:1] == "\n" else " " + w for w in distinct])[place]
         number[first] = self._numbers([distinct[k] for k in place[first]])
         # A word that is empty or ends in white space makes the next place no safe one.
-        unsafe = np.fromiter((not w or w[-1].isspace() for w in distinct), bool, len(distinct))[place]
+        empty, blank_end = _word_ends(coded.dictionary, distinct)
+        unsafe = (empty | blank_end)[place]
         unsafe[last] = False
-        empty = np.fromiter((not w for w in distinct), bool, len(distinct))
         unsafe[first] &= ~empty[place[first]]
         whole = np.flatnonzero(np.logical_or.reduceat(unsafe, first))
         used = np.ones(len(number), np.int64)

@@ -315,9 +315,9 @@ def _packed(docs: DataFrame, text: str) -> DataFrame:
     """(id, packed): compressed texts, for a shuffle."""
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         press = zstandard.ZstdCompressor().compress
-        for part in parts:
-            texts = pa.array([press((t or "").encode()) for t in part.column(1).to_pylist()], pa.binary())
-            yield pa.RecordBatch.from_arrays([part.column(0), texts], ["id", "packed"])
+        for piece in (x for part in parts for x in ta.slices(part, text)):
+            texts = pa.array([press((t or "").encode()) for t in piece.column(1).to_pylist()], pa.binary())
+            yield pa.RecordBatch.from_arrays([piece.column(0), texts], ["id", "packed"])
 
     return docs.select("id", text).mapInArrow(batches, docs.select("id", F.lit(b"").alias("packed")).schema)
 

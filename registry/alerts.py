@@ -81,7 +81,7 @@ UNION ALL SELECT 'bias_detected', CASE WHEN high > 0 THEN 'error' ELSE 'warning'
   FROM (SELECT *, row_number() OVER (ORDER BY ordinal) AS r FROM ({_TURN_CHECKS}) WHERE status = 'fail'))""",
     f"b AS ({_bounds('qa', _NUMBERS, '0.5')})",
     "o AS (SELECT " + " + ".join(f"out_{c}" for c in _NUMBERS) + f" AS total FROM ({_outliers('qa', _NUMBERS)}))",
-    _MEM, _judged(least=1, limit=0.05).replace("o AS (SELECT avg", "ov AS (SELECT avg").replace("FROM raw, o)", "FROM raw, ov)"),
+    _MEM, _judged(least=1, limit=0.05).replace("o AS (SELECT CAST", "ov AS (SELECT CAST").replace("FROM raw, o)", "FROM raw, ov)"),
     """s AS (SELECT count(*) FILTER (WHERE nf > 0) AS biased, count(*) FILTER (WHERE severity = 'high') AS high,
   count(*) FILTER (WHERE severity = 'medium') AS medium, count(*) FILTER (WHERE severity = 'low') AS low,
   string_agg(slice, ', ' ORDER BY place) FILTER (WHERE nf > 0 AND place <= 5) AS slices

@@ -1,6 +1,7 @@
 """The registered queries against SQL, and the pipeline against its stages one by one."""
 
 import duckdb
+import pandas as pd
 import pytest
 
 import corpus_pipeline
@@ -10,9 +11,13 @@ SF_DIR = "/root/testdata/sf0.001"
 
 
 def rows_of(frame):
+    def plain(v):
+        if pd.isna(v):
+            return None
+        return int(v) if isinstance(v, float) and v == int(v) else v
+
     frame = frame[sorted(frame.columns)]
-    return sorted([tuple(None if v is None or v != v else int(v) if isinstance(v, float) and v == int(v) else v for v in r)
-                   for r in frame.itertuples(index=False, name=None)], key=repr)
+    return sorted([tuple(map(plain, r)) for r in frame.itertuples(index=False, name=None)], key=repr)
 
 
 @pytest.mark.parametrize("name", sorted(queries.ORACLE))

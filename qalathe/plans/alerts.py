@@ -33,6 +33,8 @@ def _first_names(df: DataFrame, order: list[Column], name: str, k: int = 5) -> D
     return top.agg(F.concat_ws(", ", F.transform(entries, lambda e: e["_name"])).alias("_names"))
 
 
+# Fixed texts: titles and messages of alerts, by which they are compared and searched.
+
 def validation_alert(checks: DataFrame, at) -> DataFrame:
     """One error when the table is not valid, none otherwise."""
     names = _first_names(checks.where(F.col("status") == "fail"),

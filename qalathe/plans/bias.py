@@ -223,6 +223,8 @@ def bias_summary(verdicts: DataFrame) -> DataFrame:
     )
 
 
+# Fixed texts: issues and remedies as reports name them.
+
 def suggestions(verdicts: DataFrame, high_priority_count: int = 50) -> DataFrame:
     """One row per remedy. Slices of higher quality need none."""
     factor, name = F.col("_f.factor"), F.col("slice")

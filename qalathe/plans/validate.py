@@ -46,6 +46,8 @@ def schema_suite(df: DataFrame, required=D.REQUIRED_COLUMNS, known=D.KNOWN_COLUM
     return Suite(facts=facts)
 
 
+# Fixed texts: the messages of the checks below, by which reports are compared.
+
 def quality_suite(
     df: DataFrame, key: str = "question_id", critical=D.CRITICAL_COLUMNS,
     texts=("question_body", "answer_body", "title"), min_rows: int = D.MIN_ROWS,

@@ -120,7 +120,7 @@ def sentences(c: str) -> str:
     return f"CAST(len(regexp_extract_all({c}, '[.!?]+')) AS BIGINT)"
 
 
-# Written as patterns here, as an independent statement of the phrase lists.
+# The word lists, written as patterns here as an independent statement of them.
 ERROR_PATTERNS = {
     "CrashLoopBackOff": "crashloopbackoff",
     "OOMKilled": "oomkilled|outofmemory|oom",

@@ -105,8 +105,8 @@ def run_from_landed(
     lines: bool = False, **options,
 ) -> dict[str, str]:
     """As :func:`run_stages`, from landed API responses."""
-    questions = sources.landed_questions(spark, questions_path, lines=lines)
-    answers = sources.landed_answers(spark, answers_path, lines=lines)
+    questions = acquire.distinct_landed_questions(sources.landed_questions(spark, questions_path, lines=lines))
+    answers = acquire.distinct_landed_answers(sources.landed_answers(spark, answers_path, lines=lines))
     return run_stages(spark, acquire.pairs_by_accepted_answer(questions, answers), out, run_time, **options)
 
 

@@ -1,11 +1,12 @@
 """The chain from pairs to training sets, and the tables it leaves."""
 
 import datetime
+import json
 
 import pytest
 
 from qalathe import schemas as S
-from qalathe.plans.stages import run_from_csv, run_stages
+from qalathe.plans.stages import run_from_csv, run_from_landed, run_stages
 
 AT = datetime.datetime(2024, 5, 1)
 
@@ -58,3 +59,18 @@ def test_chain_from_csv(spark, tmp_path):
     assert sorted(r.question_id for r in rows) == [5, 6, 7, 8, 9, 10]
     assert all("& then" in r.answer_body and r.tags == ["a", "b"] for r in rows)
     assert spark.read.json(place["train"]).count() == 4
+
+
+def test_chain_from_landed_responses(spark, tmp_path):
+    asked = [{"question_id": i, "accepted_answer_id": i + 100 if i != 3 else None, "title": f"T{i}", "tags": ["a"], "score": i,
+              "view_count": 5, "body": f"<p>Why is pod {i} crashing, and how do I stop it?</p>"} for i in range(1, 7)]
+    said = [{"answer_id": i + 100, "score": 3, "body": f"Look at the logs, &amp; then raise the limit of pod {i} a bit."}
+            for i in range(1, 6)]
+    for name, pages in (("q", [{"tag": "a", "items": asked}, {"tag": "b", "items": asked[:2]}]), ("a", [{"batch": 1, "items": said}])):
+        (tmp_path / name).mkdir()
+        for k, page in enumerate(pages):
+            (tmp_path / name / f"{k}.json").write_text(json.dumps(page, indent=1))
+    place = run_from_landed(spark, str(tmp_path / "q"), str(tmp_path / "a"), str(tmp_path / "out"), AT, min_rows=1)
+    rows = spark.read.parquet(place["processed"]).collect()
+    assert sorted(r.question_id for r in rows) == [1, 2, 4, 5]
+    assert all("& then" in r.answer_body for r in rows)

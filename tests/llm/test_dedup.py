@@ -137,6 +137,42 @@ def test_suffixes(spark, monkeypatch, length, gram, alphabet):
         assert (bytes(r.kept), r.n_bytes, r.n_removed, len(r.spans)) == want[(r.doc_id, r.text.encode())]
 
 
+@pytest.mark.parametrize("length, gram, alphabet", [(10, 4, "ab é"), (6, 6, "abc"), (50, 16, "ab")])
+@pytest.mark.parametrize("most", [0, 12])
+def test_suffixes_of_hot_grams(spark, monkeypatch, length, gram, alphabet, most):
+    monkeypatch.setattr(suffix_dedup, "SUFFIXES_PER_GRAM", most)
+    monkeypatch.setattr(suffix_dedup, "PACKED_SLICE_BYTES", 500)
+    test_suffixes(spark, monkeypatch, length, gram, alphabet)
+
+
+def test_one_gram_in_thousands_of_contexts(spark, monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "SUFFIXES_PER_GRAM", 100, raising=False)
+    monkeypatch.setattr(suffix_dedup, "PACKED_SLICE_BYTES", 20_000)
+    whole = suffix_dedup._windows_held
+
+    def bounded(rows, *rest):
+        assert len(rows) <= 100
+        return whole(rows, *rest)
+
+    monkeypatch.setattr(suffix_dedup, "_windows_held", bounded)
+    rng = random.Random(6)
+    word = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
+    grams = [word(16) for _ in range(5000)]
+    data = np.frombuffer("".join(grams).encode(), np.uint8)
+    at = np.arange(0, len(data), 16)
+    gram = grams[int(np.argmin(suffix_dedup.ta.span_hashes(data, at, at + 16)))]
+    contexts = [word(40) + gram + word(40) for _ in range(3000)]
+    rows = [(k, "".join(contexts[10 * k:10 * k + 10])) for k in range(300)]
+    # Later ones hold parts of the contexts, short of a window and longer.
+    rows += [(300 + k, word(30) + contexts[rng.randrange(3000)][rng.randrange(30):rng.randrange(60, 96)] + word(30)) for k in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    want = suffix_want(rows, 50)
+    out = suffix_dedup.drop_repeated(docs).collect()
+    assert len(out) == 600 and sum(r.n_removed > 0 for r in out) > 100
+    for r in out:
+        assert (bytes(r.kept), r.n_bytes, r.n_removed, len(r.spans)) == want[(r.doc_id, r.text.encode())]
+
+
 def test_suffixes_of_odd_rows(odd_docs, no_docs):
     rows = [(r.doc_id, r.text) for r in odd_docs.collect()]
     want = suffix_want([(d, t if len(t or "") < 1000 else t[:3000]) for d, t in rows], 50)

@@ -27,6 +27,9 @@ from .work import saved
 
 END = "\r\n"
 RECORDS_PER_FILE = 2000
+# An archive is read whole. Longer records are written apart, fewer to a file, so none grows beyond
+# this unless by a single record.
+BYTES_PER_FILE = 64 << 20
 # Captures that one task of the merge holds.
 CAPTURES_PER_TASK = 200_000
 
@@ -110,18 +113,34 @@ def _records(pages: DataFrame, revisits: DataFrame, time: Callable[[Column], Col
         ).alias("record"))
 
 
+def _size_classes(longest: int) -> Iterator[tuple[int, int, int]]:
+    """(over, up to, records per file) of record sizes in bytes, so that files stay within ``BYTES_PER_FILE``."""
+    over, most = 0, RECORDS_PER_FILE
+    while over < longest:
+        upto = BYTES_PER_FILE // most if most > 1 else longest
+        yield over, max(upto, over), most
+        over, most = max(upto, over), max(most // 8, 1)
+
+
 def write_archives(
     pages: DataFrame, path: str, min_bytes: int = 0, time: Callable[[Column], Column] = fetch_time,
 ) -> None:
     """Writes a record per page to archives under ``path``, each a run in (URL key, time, page).
 
     Revisits are settled on digests alone. Their table is written first; it is joined by
-    broadcast if it is small then, so pages are shuffled only where revisits are many.
+    broadcast if it is small then, so pages are shuffled only where revisits are many. Pages of
+    each class of sizes have archives of their own.
     """
     pages = pages.select("page_id", "url", F.coalesce("html", F.lit("")).alias("html"))
     revisits = saved(_revisits(pages, min_bytes), "revisits")
-    (_records(pages, revisits, time).sortWithinPartitions("key", "time", "page_id").select("record")
-     .write.option("lineSep", 2 * END).option("maxRecordsPerFile", RECORDS_PER_FILE).text(path))
+    # At most: an escaped byte is three, and the headers without the URL have less than 1,024.
+    size = F.octet_length("html").cast("long") + 3 * F.coalesce(F.octet_length("url"), F.lit(0)) + 1024
+    classes = list(_size_classes(pages.agg(F.max(size)).first()[0] or 1))
+    for over, upto, most in classes:
+        part = pages.where((size > over) & (size <= upto)) if len(classes) > 1 else pages
+        (_records(part, revisits, time).sortWithinPartitions("key", "time", "page_id").select("record")
+         .write.mode("append" if over else "errorifexists")
+         .option("lineSep", 2 * END).option("maxRecordsPerFile", most).text(path))
 
 
 # --- reading ----------------------------------------------------------------------------

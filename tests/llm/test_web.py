@@ -77,6 +77,22 @@ def test_archives(spark, tmp_path, monkeypatch):
         assert next(warc.parse_records(f.read(some.length)))[0] == 40
 
 
+def test_archives_are_bounded_by_bytes(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(warc, "BYTES_PER_FILE", 400_000, raising=False)
+    monkeypatch.setattr(warc, "RECORDS_PER_FILE", 100)
+    rng = random.Random(8)
+    sizes = [*[rng.randint(0, 2_000) for _ in range(150)], *[rng.randint(3_000, 130_000) for _ in range(60)], 700_000]
+    rows = [(k, f"http://one.host/{k:04}", f"{k} " + "x" * n) for k, n in enumerate(sizes)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(1)
+    out = warc.capture_histories(pages, path=str(tmp_path / "w")).collect()
+    assert [r.page_id for r in out] == list(range(len(rows))) and all(r.intact for r in out)
+    assert [r.payload_bytes for r in out] == [len(html) for _, _, html in rows]
+    held = {}
+    for r in out:
+        held.setdefault(r.file, []).append(r.length + 4)
+    assert all(sum(x) <= 400_000 or len(x) == 1 for x in held.values())
+
+
 def test_payloads_too_small_to_revisit(spark):
     pages = spark.createDataFrame([(1, "u", "abc"), (2, "u", "abc"), (3, "u", "abcdef"), (4, "u", "abcdef")], "page_id long, url string, html string")
     got = {r.page_id: r.record_type for r in warc.capture_histories(pages, min_bytes=4).collect()}

@@ -1,5 +1,7 @@
 """The registered queries against SQL, and the pipeline against its stages one by one."""
 
+import hashlib
+
 import duckdb
 import pandas as pd
 import pytest
@@ -7,6 +9,8 @@ import pytest
 import corpus_pipeline
 from qalathe.llm import queries
 
+from test_dedup import suffix_want
+
 SF_DIR = "/root/testdata/sf0.001"
 
 
@@ -44,3 +48,14 @@ def test_pipeline(spark):
     out = corpus_pipeline.run(spark, SF_DIR).collect()
     assert {r.doc_id for r in out} == set(left)
     assert sum(r.length for r in out) == sum(len(r.ids) for r in out)
+
+
+def test_suffix_query_against_brute_force(spark):
+    rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF_DIR}/documents.parquet").collect()]
+    want = suffix_want(rows, 50)
+    got = queries.op5_suffix_dedup(spark, SF_DIR).collect()
+    assert len(got) == len(rows) and sum(r.n_removed > 0 for r in got) > 0
+    texts = dict(rows)
+    for r in got:
+        kept, *counts = want[(r.doc_id, (texts[r.doc_id] or "").encode())]
+        assert [r.n_bytes, r.n_removed, r.n_spans] == counts and r.kept_sha256 == hashlib.sha256(kept).hexdigest()

@@ -188,6 +188,13 @@ def test_suffixes_of_odd_rows(odd_docs, no_docs):
     assert suffix_dedup.drop_repeated(no_docs).isEmpty()
 
 
+def test_suffixes_of_odd_rows_whole(odd_docs):
+    rows = [(r.doc_id, r.text) for r in odd_docs.collect()]
+    want = suffix_want(rows, 50)
+    for r in suffix_dedup.drop_repeated(odd_docs).collect():
+        assert (bytes(r.kept), r.n_bytes, r.n_removed, len(r.spans)) == want[(r.doc_id, (r.text or "").encode())]
+
+
 def test_loser_tree_knows_common_prefixes():
     rng = random.Random(5)
     for _ in range(200):

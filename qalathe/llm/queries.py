@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, line_dedup, neighbours, ngram_join, packing, quality, suffix_dedup, url_filter, warc
+from . import bpe, exact_dedup, filter_audit, line_dedup, neighbours, ngram_join, packing, quality, suffix_dedup, url_filter, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -170,6 +170,64 @@ FROM k LEFT JOIN common c ON k.key = c.key
 GROUP BY doc_id
 """
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five filters in all 120 orders: per part, order and step, what each removes and costs."""
+    return filter_audit.filter_audit(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+_LETTER_BITS = " + ".join(f"(CASE WHEN contains({{s}}, '{c}') THEN {1 << k} ELSE 0 END)" for k, c in enumerate("ABCDE"))
+OP11_SQL = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t FROM documents
+),
+w AS (
+  SELECT *, list_filter(regexp_split_to_array(t, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM d
+),
+f AS (
+  SELECT doc_id, part,
+         CASE WHEN len(ws) < 100 THEN 1 ELSE 0 END
+         + CASE WHEN 100 * len(list_distinct(ws)) < 80 * len(ws) THEN 2 ELSE 0 END
+         + CASE WHEN 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 10 * length(t) THEN 4 ELSE 0 END
+         + CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 8 ELSE 0 END
+         + CASE WHEN doc_id > min(doc_id) OVER (PARTITION BY t) THEN 16 ELSE 0 END AS mask
+  FROM w
+),
+lab AS (
+  SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels GROUP BY doc_id
+),
+m AS (
+  SELECT part, mask, count(*) AS n, count(*) FILTER (WHERE good) AS g, count(*) FILTER (WHERE toxic) AS x
+  FROM f LEFT JOIN lab USING (doc_id) GROUP BY ALL
+),
+letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS c),
+orders AS (
+  SELECT a.c || b.c || c.c || d.c || e.c AS filter_order
+  FROM letters a, letters b, letters c, letters d, letters e
+  WHERE len(list_distinct([a.c, b.c, c.c, d.c, e.c])) = 5
+),
+steps AS (
+  SELECT filter_order, s AS step, (1 << (ascii(substr(filter_order, s, 1)) - 65)) AS bit,
+         """ + _LETTER_BITS.format(s="substr(filter_order, 1, s - 1)") + r""" AS earlier
+  FROM orders, range(1, 6) r(s)
+),
+c AS (
+  SELECT part, filter_order, step, bit,
+         sum(CASE WHEN mask & (bit | earlier) = 0 THEN n ELSE 0 END) AS kept,
+         sum(CASE WHEN mask & bit <> 0 AND mask & earlier = 0 THEN n ELSE 0 END) AS removed,
+         sum(CASE WHEN mask & bit <> 0 AND mask & earlier <> 0 THEN n ELSE 0 END) AS redundant,
+         sum(CASE WHEN mask = bit THEN n ELSE 0 END) AS unique_fails,
+         sum(CASE WHEN mask & bit <> 0 AND mask & earlier = 0 THEN g ELSE 0 END) AS good_lost,
+         sum(CASE WHEN mask & bit <> 0 AND mask & earlier = 0 THEN x ELSE 0 END) AS toxic_lost
+  FROM m, steps GROUP BY ALL
+)
+SELECT part, filter_order, CAST(step AS INTEGER) AS step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+       CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails,
+       CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost,
+       CAST(sum(removed) OVER (PARTITION BY part, bit) AS BIGINT) AS shapley
+FROM c
+"""
+
+
 QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_neighbours": op2_neighbours,
@@ -181,10 +239,12 @@ QUERIES = {
     "op8_packing": op8_packing,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_line_dedup": op10_line_dedup,
+    "op11_filter_audit": op11_filter_audit,
 }
 ORACLE = {
     "op3_url_filter": OP3_SQL,
     "op7_warc": OP7_SQL,
     "op9_exact_dedup": OP9_SQL,
     "op10_line_dedup": OP10_SQL,
+    "op11_filter_audit": OP11_SQL,
 }

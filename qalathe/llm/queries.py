@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, filter_audit, line_dedup, neighbours, ngram_join, packing, quality, suffix_dedup, url_filter, warc
+from . import bpe, collocations, exact_dedup, filter_audit, line_dedup, neighbours, ngram_join, packing, quality, suffix_dedup, url_filter, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -228,6 +228,56 @@ FROM c
 """
 
 
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per language, the 2,000 phrases of 2 to 5 words that their parts explain least."""
+    return collocations.collocations(_table(spark, sf_dir, "documents"))
+
+
+OP13_SQL = f"""
+WITH d AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         translate(coalesce(text, ''), '{string.ascii_uppercase}', '{string.ascii_lowercase}') AS t
+  FROM documents
+),
+p AS (SELECT lang, unnest(regexp_split_to_array(t, '[.,;:!?\\x0A-\\x0D]')) AS piece FROM d),
+w AS (
+  SELECT lang, list_filter(regexp_split_to_array(piece, '[\\x20\\x09]+'), lambda x: x <> '') AS ws FROM p
+),
+tot AS MATERIALIZED (SELECT lang, sum(len(ws))::BIGINT AS n FROM w GROUP BY lang),
+g AS (
+  SELECT lang, m, array_to_string(list_slice(ws, i, i + m - 1), ' ') AS phrase
+  FROM (SELECT lang, ws, m, unnest(range(1, len(ws) + 2 - m)) AS i FROM w, range(1, 6) r(m) WHERE len(ws) >= m)
+),
+freq AS MATERIALIZED (
+  SELECT lang, m, phrase, count(*)::BIGINT AS f FROM g GROUP BY ALL HAVING count(*) >= 100
+),
+cand AS MATERIALIZED (SELECT lang, m, phrase, f AS a, string_split(phrase, ' ') AS ws FROM freq WHERE m >= 2),
+cuts AS (
+  SELECT lang, m, phrase, a, k, array_to_string(list_slice(ws, 1, k), ' ') AS lp,
+         array_to_string(list_slice(ws, k + 1, m), ' ') AS rp
+  FROM cand, range(1, 5) r(k) WHERE k < m
+),
+sc AS (
+  SELECT cuts.lang, cuts.phrase, a, k, l.f AS l, r.f AS r, tot.n,
+         ((1000::HUGEINT * a * tot.n) // (l.f::HUGEINT * r.f))::BIGINT AS score
+  FROM cuts JOIN freq l ON l.lang = cuts.lang AND l.phrase = lp JOIN freq r ON r.lang = cuts.lang AND r.phrase = rp
+  JOIN tot ON tot.lang = cuts.lang
+),
+best AS (SELECT * FROM sc QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+inner_ AS (
+  SELECT lang, array_to_string(list_slice(ws, i, i + ln - 1), ' ') AS phrase, max(a) AS outer_a
+  FROM cand, range(2, 5) x(ln), range(1, 5) y(i) WHERE ln < m AND i + ln - 1 <= m GROUP BY ALL
+),
+kept AS (
+  SELECT b.* FROM best b LEFT JOIN inner_ o ON o.lang = b.lang AND o.phrase = b.phrase
+  WHERE o.outer_a IS NULL OR o.outer_a < b.a
+)
+SELECT lang, rank, phrase, a, l, r, n, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept
+) WHERE rank <= 2000
+"""
+
+
 QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_neighbours": op2_neighbours,
@@ -240,6 +290,7 @@ QUERIES = {
     "op9_exact_dedup": op9_exact_dedup,
     "op10_line_dedup": op10_line_dedup,
     "op11_filter_audit": op11_filter_audit,
+    "op13_collocations": op13_collocations,
 }
 ORACLE = {
     "op3_url_filter": OP3_SQL,
@@ -247,4 +298,5 @@ ORACLE = {
     "op9_exact_dedup": OP9_SQL,
     "op10_line_dedup": OP10_SQL,
     "op11_filter_audit": OP11_SQL,
+    "op13_collocations": OP13_SQL,
 }

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, collocations, exact_dedup, filter_audit, line_dedup, neighbours, ngram_join, packing, quality, suffix_dedup, url_filter, warc
+from . import bpe, collocations, exact_dedup, filter_audit, fingerprints, line_dedup, neighbours, ngram_join, packing, quality, suffix_dedup, url_filter, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -228,6 +228,11 @@ FROM c
 """
 
 
+def op12_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every text and of its edit by the next document, and their likeness."""
+    return fingerprints.fingerprints(_table(spark, sf_dir, "documents"))
+
+
 def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per language, the 2,000 phrases of 2 to 5 words that their parts explain least."""
     return collocations.collocations(_table(spark, sf_dir, "documents"))
@@ -290,6 +295,7 @@ QUERIES = {
     "op9_exact_dedup": op9_exact_dedup,
     "op10_line_dedup": op10_line_dedup,
     "op11_filter_audit": op11_filter_audit,
+    "op12_fingerprints": op12_fingerprints,
     "op13_collocations": op13_collocations,
 }
 ORACLE = {

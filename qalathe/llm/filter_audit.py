@@ -35,6 +35,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .work import saved
+
 LETTERS = "ABCDE"
 MIN_WORDS = 100
 DISTINCT_PERCENT = 80
@@ -135,11 +137,12 @@ def filter_masks(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", pa
         + F.when(100 * F.size(F.array_distinct("w")) < DISTINCT_PERCENT * n, 2).otherwise(0)
         + F.when(100 * F.col("upper") > UPPER_PERCENT * F.col("cp"), 4).otherwise(0)
         + F.when(F.col("d"), 8).otherwise(0))
-    local = (
+    # Written once: the range partitioner samples its input, which would run this pass again.
+    local = saved(
         rows.select("id", "key", F.lit(False).alias("repeat"), "part", mask.cast("int").alias("mask"),
                     F.lit(1).cast("long").alias("n"))
         .sortWithinPartitions("key", F.col("id").asc_nulls_last(), "part", "mask")
-        .mapInArrow(flag_repeats, _FLAGS_DDL))
+        .mapInArrow(flag_repeats, _FLAGS_DDL), "local-repeats")
     # Equal texts meet by prefix and hash of the whole text; rows that repeat are spread by id.
     spread = F.when(F.col("key").isNull(), F.xxhash64("id", "part", "mask")).otherwise(F.xxhash64("key"))
     ranged = (

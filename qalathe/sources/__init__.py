@@ -6,8 +6,10 @@ from .readers import (  # noqa: F401
     landed_questions,
     optional_json,
     read_answers_csv,
+    read_answers_csv_split,
     read_json_array,
     read_questions_csv,
+    read_questions_csv_split,
 )
 from .writers import (  # noqa: F401
     flat_for_csv,

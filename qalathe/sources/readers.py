@@ -44,6 +44,20 @@ def read_answers_csv(spark: SparkSession, path, multi_line: bool = True) -> Data
     return _csv_by_header(spark, path, S.ANSWER_CSV_COLUMNS, multi_line)
 
 
+def read_questions_csv_split(spark: SparkSession, path) -> DataFrame:
+    """Questions from CSV files with line breaks in fields, each file read in many splits."""
+    from .split_csv import read_csv_split
+
+    return read_csv_split(spark, path, S.QUESTION_CSV_COLUMNS)
+
+
+def read_answers_csv_split(spark: SparkSession, path) -> DataFrame:
+    """Answers from CSV files with line breaks in fields, each file read in many splits."""
+    from .split_csv import read_csv_split
+
+    return read_csv_split(spark, path, S.ANSWER_CSV_COLUMNS)
+
+
 def read_json_array(spark: SparkSession, path, schema: T.StructType, lines: bool = False) -> DataFrame:
     """Files that each hold one JSON array of records, read with a given schema.
 

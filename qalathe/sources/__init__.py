@@ -3,11 +3,13 @@
 from .readers import (  # noqa: F401
     first_available,
     landed_answers,
+    landed_question_documents,
     landed_questions,
     optional_json,
     read_answers_csv,
     read_answers_csv_split,
     read_json_array,
+    read_json_items,
     read_questions_csv,
     read_questions_csv_split,
 )

@@ -58,6 +58,13 @@ def read_answers_csv_split(spark: SparkSession, path) -> DataFrame:
     return read_csv_split(spark, path, S.ANSWER_CSV_COLUMNS)
 
 
+def read_json_items(spark: SparkSession, path, schema: T.StructType, item_depth: int = 1) -> DataFrame:
+    """Items of one JSON array per file, read by split; see ``split_json``."""
+    from .split_json import read_json_items as read
+
+    return read(spark, path, schema, item_depth)
+
+
 def read_json_array(spark: SparkSession, path, schema: T.StructType, lines: bool = False) -> DataFrame:
     """Files that each hold one JSON array of records, read with a given schema.
 
@@ -83,6 +90,24 @@ def landed_questions(spark: SparkSession, path, tags=D.TAGS, lines: bool = False
     return items.select("record.*", F.struct("page", "file", "line", "item").alias(POSITION))
 
 
+def landed_question_documents(spark: SparkSession, path, tags=D.TAGS) -> DataFrame:
+    """Question items of landed responses that are each one JSON document in a file, read by split.
+
+    Items are found at depth 2 (the ``items`` array of the response object); the response's tag
+    comes from the document without its items. Places order as in ``landed_questions``.
+    """
+    from .split_json import read_json_items
+
+    item = S.LANDED_QUESTIONS["items"].dataType.elementType
+    found = read_json_items(spark, path, item, item_depth=2)
+    order = F.array(*[F.lit(t) for t in tags]) if tags else F.array().cast("array<string>")
+    tag = F.get_json_object("_outside", "$.tag")
+    rank = F.array_position(order, F.coalesce(tag, F.lit("")))
+    page = F.when(rank > 0, rank).otherwise(F.lit(len(tags) + 1).cast("long"))
+    return found.select(*[c for c in found.columns if c not in ("_pos", "_outside")],
+                        F.struct(page.alias("page"), "_pos.file", "_pos.kb", "_pos.kp", "_pos.ka").alias(POSITION))
+
+
 def landed_answers(spark: SparkSession, path, lines: bool = False) -> DataFrame:
     """Answer items of landed responses with the place each was met in."""
     batches = spark.read.schema(S.LANDED_ANSWERS).json(path, multiLine=not lines)

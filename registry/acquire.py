@@ -162,6 +162,27 @@ def json_arrays(spark, sf_dir):
     return _text_digest(out.withColumn("tags", F.concat_ws("|", "tags")), "question_body", "answer_body")
 
 
+def json_document_split(spark, sf_dir):
+    """Pairs as files that each hold one JSON array (the rows of one input split), read back by split."""
+    base = W.qa_base(spark, sf_dir)
+    documents = base.groupBy(F.spark_partition_id().alias("_p")).agg(
+        F.to_json(F.collect_list(F.struct(*base.columns))).alias("value"))
+    path = fresh_path(spark, "json-documents")
+    documents.write.partitionBy("_p").text(path)
+    out = sources.read_json_items(spark, path, S.QA_PAIRS).drop("_pos", "_outside")
+    return _text_digest(out.withColumn("tags", F.concat_ws("|", "tags")), "question_body", "answer_body")
+
+
+def landed_question_documents(spark, sf_dir):
+    """Landed question responses, one document per file, read back by split."""
+    path, _ = _landed(spark, sf_dir)
+    single = fresh_path(spark, "landed-documents")
+    spark.read.text(path).select("value", F.get_json_object("value", "$.tag").alias("t"),
+                                 F.xxhash64("value").alias("h")).write.partitionBy("t", "h").text(single)
+    out = plan.distinct_landed_questions(sources.landed_question_documents(spark, single, _TAG_ORDER))
+    return _text_digest(out.withColumn("tags", F.concat_ws("|", "tags")), "body")
+
+
 def csv_sink(spark, sf_dir):
     path = fresh_path(spark, "processed-csv")
     sources.write_csv(qa_processed(spark, sf_dir), path)
@@ -214,6 +235,8 @@ QUERIES = {
     "question_csv_scan": question_csv,
     "answer_csv_scan": answer_csv,
     "question_csv_split": question_csv_split,
+    "json_document_split": json_document_split,
+    "landed_question_documents": landed_question_documents,
     "answer_csv_split": answer_csv_split,
     "csv_pairs": csv_pairs,
     "acquisition_counts": acquisition_counts,
@@ -315,11 +338,15 @@ ORACLE["report_sink"] = _report_oracle()
 # Read by split, the dumps give the same rows as read whole.
 ORACLE["question_csv_split"] = ORACLE["question_csv_scan"]
 ORACLE["answer_csv_split"] = ORACLE["answer_csv_scan"]
+ORACLE["json_document_split"] = ORACLE["json_array_scan"]
+ORACLE["landed_question_documents"] = ORACLE["landed_questions"]
 
 COVERS = {
     "question_csv_scan": ("S1", "P1", "P2", "F2", "F15"),
     "answer_csv_scan": ("S2", "P2", "P3", "W1", "F15"),
     "question_csv_split": ("S1", "P1", "P2", "F15"),
+    "json_document_split": ("S3",),
+    "landed_question_documents": ("S4", "P4"),
     "answer_csv_split": ("S2", "P2", "P3", "W1", "F15"),
     "csv_pairs": ("S1", "S2", "J1", "W1", "P9", "F1"),
     "acquisition_counts": ("A25",),

@@ -16,6 +16,12 @@ _CUT_PROBS = ", ".join(f"{i / BUCKETS}D" for i in range(1, BUCKETS))
 # bracket's ends lie in units of the sketch's error.
 ACCURACY = 10_000
 REACH = (-4, -2, 2, 4)
+# A bucket that holds a wanted rank is ranked in one task only when it holds at most MAX_RANKED
+# values; a larger one is cut again into FAN buckets by a sketch of its own values, for at most
+# ROUNDS rounds (a bucket of one repeated value is never cut: it is one row when ranked).
+MAX_RANKED = 2_000_000
+FAN = 64
+ROUNDS = 6
 
 
 def _count_below(places) -> str:
@@ -36,6 +42,35 @@ def _placed(counted: DataFrame, bounds: DataFrame, keys: list[str]) -> DataFrame
         *keys, "_v", "_n", "_total", F.expr(bucket).alias("_b"))
 
 
+def _targets(totals: DataFrame, keys: list[str], parent: list[str], base, ranks: str) -> DataFrame:
+    """Buckets that hold a wanted rank, with the values before them and the ranks they hold."""
+    running = F.sum("_bn").over(Window.partitionBy(*keys, *parent).orderBy("_b"))
+    return totals.withColumn("_upto", running + base).select(
+        *keys, "_b", "_bn", "_lo", "_hi", F.expr("_upto - _bn AS _before"),
+        F.expr(f"filter({ranks}, k -> k >= _upto - _bn AND k < _upto) AS _ranks"),
+    ).where("size(_ranks) > 0")
+
+
+def _narrowed(placed: DataFrame, targets: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame]:
+    """One round: buckets over ``MAX_RANKED`` values are cut into ``FAN`` by a sketch of their own."""
+    big = targets.where(f"_bn > {MAX_RANKED} AND _lo < _hi").select(
+        *keys, "_b", F.col("_before").alias("_base"), F.col("_ranks").alias("_want"))
+    shares = ", ".join(f"{i / FAN}D" for i in range(1, FAN))
+    inside = placed.join(big, [*keys, "_b"])
+    cuts = inside.groupBy(*keys, "_b").agg(F.expr(f"approx_percentile(_v, array({shares}), {4 * FAN}) AS _cuts"))
+    sub = inside.join(cuts, [*keys, "_b"]).withColumn(
+        "_b", F.concat("_b", F.array(F.expr(_count_below(range(FAN - 1))).cast("int"))))
+    totals = sub.groupBy(*keys, "_b").agg(
+        F.expr("sum(_n) AS _bn"), F.expr("max(_total) AS _total"), F.expr("min(_v) AS _lo"),
+        F.expr("max(_v) AS _hi"), F.expr("first(_base) AS _base"), F.expr("first(_want) AS _want"))
+    parent = F.slice("_b", 1, F.size("_b") - 1)
+    found = _targets(totals.withColumn("_parent", parent), keys, ["_parent"], F.col("_base"), "_want")
+    rest = placed.join(big.select(*keys, "_b"), [*keys, "_b"], "left_anti")
+    kept = targets.join(big.select(*keys, "_b"), [*keys, "_b"], "left_anti")
+    return (rest.unionByName(sub.select(*rest.columns)),
+            kept.unionByName(found.select(*kept.columns)))
+
+
 def exact_quantiles(
     df: DataFrame, keys: list[str], value: str, probs: dict[str, float],
     approximate: bool = False, few_groups: bool = True,
@@ -76,13 +111,16 @@ def exact_quantiles(
 
     ranks = {name: f"({float(p)}D * (_total - 1))" for name, p in probs.items()}
     wanted = ", ".join(f"floor({r}), ceil({r})" for r in ranks.values())
+    placed = placed.withColumn("_b", F.array(F.col("_b").cast("int")))
     # At most BUCKETS rows per key group from here to the join.
-    totals = placed.groupBy(*keys, "_b").agg(F.expr("sum(_n) AS _bn"), F.expr("max(_total) AS _total"))
-    running = F.sum("_bn").over(Window.partitionBy(*keys).orderBy("_b"))
-    targets = totals.withColumn("_upto", running).select(
-        *keys, "_b", F.expr("_upto - _bn AS _before"),
-        F.expr(f"filter(array_distinct(array({wanted})), k -> k >= _upto - _bn AND k < _upto) AS _ranks"),
-    ).where("size(_ranks) > 0")
+    totals = placed.groupBy(*keys, "_b").agg(
+        F.expr("sum(_n) AS _bn"), F.expr("max(_total) AS _total"), F.expr("min(_v) AS _lo"), F.expr("max(_v) AS _hi"))
+    targets = _targets(totals, keys, [], F.lit(0).cast("long"), f"array_distinct(array({wanted}))")
+    for _ in range(ROUNDS):
+        if targets.where(f"_bn > {MAX_RANKED} AND _lo < _hi").isEmpty():
+            break
+        placed, targets = _narrowed(placed, targets, keys)
+    targets = targets.select(*keys, "_b", "_before", "_ranks")
     if few_groups:
         targets = F.broadcast(targets)  # at most two buckets per group and probability
     running = F.sum("_n").over(Window.partitionBy(*keys, "_b").orderBy("_v"))

@@ -39,3 +39,36 @@ def test_approximate_is_close(spark):
 def test_empty(spark):
     df = spark.createDataFrame([], "k string, v double")
     assert exact_quantiles(df, ["k"], "v", {"m": 0.5}).count() == 0
+
+
+@pytest.mark.parametrize("few_groups", [True, False])
+def test_rounds_narrow_large_buckets(spark, monkeypatch, few_groups):
+    from qalathe.operators import quantiles
+
+    monkeypatch.setattr(quantiles, "MAX_RANKED", 40)
+    data = frames()
+    rows = [(k, float(v)) for k, values in data.items() for v in values]
+    df = spark.createDataFrame(rows, "k string, v double").repartition(4)
+    got = {r.k: r for r in exact_quantiles(df, ["k"], "v", PROBS, few_groups=few_groups).collect()}
+    for k, values in data.items():
+        want = np.quantile(values, list(PROBS.values()))
+        np.testing.assert_allclose([got[k][p] for p in PROBS], want, rtol=1e-12, atol=1e-12)
+
+
+def test_no_task_ranks_more_than_the_bound(spark, monkeypatch):
+    from qalathe.operators import quantiles
+
+    monkeypatch.setattr(quantiles, "MAX_RANKED", 500)
+    df = spark.range(200_000).selectExpr("'c' AS k", "CAST(id * 7 % 200000 AS DOUBLE) AS v")
+    seen = []
+    original = quantiles._narrowed
+
+    def spy(placed, targets, keys):
+        placed, targets = original(placed, targets, keys)
+        seen.append(targets.agg({"_bn": "max"}).first()[0])
+        return placed, targets
+
+    monkeypatch.setattr(quantiles, "_narrowed", spy)
+    got = exact_quantiles(df, ["k"], "v", {"m": 0.5, "p9": 0.9}, few_groups=False).first()
+    assert (got.m, got.p9) == (99999.5, 179999.1) or abs(got.p9 - 179999.1) < 1e-6
+    assert seen and seen[-1] <= 500

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from .. import defaults as D
 from ..functions import python_round
+from ..functions.numeric import exact_means
 from ..operators import beside, exact_quantiles
 
 SCALAR_DIMENSIONS = ("question_type", "complexity")
@@ -78,24 +79,24 @@ def _lengths(df: DataFrame) -> DataFrame:
 _MEASURED = ("quality_score", "answer_score", "question_length", "answer_length")
 
 
-def exact_mean(x: Column) -> Column:
-    """The mean of numbers of up to six decimals, the same in whatever order they are summed."""
-    total = F.sum(F.round(x * 1_000_000).cast("decimal(20,0)")).cast("double")
-    return F.try_divide(total / 1_000_000, F.count(x))
-
-
 def _moments() -> list[Column]:
+    """Count and standard deviations; means come from :func:`exact_means`."""
     out = [F.count(F.lit(1)).alias("count")]
     for c in _MEASURED:
-        x = F.col(c).cast("double")
-        out += [exact_mean(x).alias(f"{c}_mean"), F.stddev_samp(x).alias(f"{c}_std")]
+        out.append(F.stddev_samp(F.col(c).cast("double")).alias(f"{c}_std"))
     return out
 
 
+def _ordered(df: DataFrame, first: list[str]) -> DataFrame:
+    moments = [name for c in _MEASURED for name in (f"{c}_mean", f"{c}_std")]
+    rest = [c for c in df.columns if c not in (*first, "count", *moments)]
+    return df.select(*first, "count", *moments, *rest)
+
+
 def overall_metrics(df: DataFrame, median: bool = True) -> DataFrame:
     """One row of the metrics over the whole table."""
     narrow = _lengths(df).select(*_MEASURED)
-    row = narrow.agg(*_moments()).withColumn(
+    row = _ordered(beside(narrow.agg(*_moments()), exact_means(narrow, [], list(_MEASURED))), []).withColumn(
         "proportion", F.when(F.col("count") > 0, F.lit(1.0)))
     if median:
         mid = exact_quantiles(
@@ -116,7 +117,12 @@ def slice_metrics(
     least = D.SLICE_MIN_SAMPLES if min_samples is None else min_samples
     member = memberships(_lengths(df), scalars, arrays, keep=_MEASURED)
     total = df.agg(F.count(F.lit(1)).alias("_total"))
-    measured = member.groupBy(*SLICE_KEYS).agg(*_moments()).where(F.col("count") >= least)
+    counted = member.groupBy(*SLICE_KEYS).agg(*_moments()).where(F.col("count") >= least)
+    means = exact_means(member, SLICE_KEYS, list(_MEASURED))
+    same = [counted[k].eqNullSafe(means[k]) for k in SLICE_KEYS]
+    measured = _ordered(counted.join(means, same, "left").select(
+        *[counted[k] for k in SLICE_KEYS], *[counted[c] for c in counted.columns if c not in SLICE_KEYS],
+        *[means[c] for c in means.columns if c not in SLICE_KEYS]), SLICE_KEYS)
     out = (
         beside(measured, total)
         .withColumn("proportion", F.col("count") / F.col("_total")).drop("_total")

@@ -1,7 +1,8 @@
 """Phrase collocations: phrases of 2 to 5 words that occur together more than their parts predict.
 
-Counting is level by level. Words are counted by Spark. For phrases of m words, each task counts
-in a HAT-trie: hash containers under a shallow trie of (part, first word), a container that grows
+Counting is level by level. Words are counted by Spark. For phrases of m words, each batch of a task
+first counts its windows by phrase (vectorised, exact), and the task gathers those counts in a
+HAT-trie: hash containers under a shallow trie of (part, first word), a container that grows
 past ``BURST`` entries bursts into containers by its second word, and when the task holds more
 than ``SPILL`` entries, whole subtrees leave as sorted runs. Spark merges the runs by phrase with
 map-side combining, so a frequent first word is no hot key.
@@ -29,6 +30,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -79,18 +81,17 @@ class HatCounter:
     def __init__(self, m: int) -> None:
         self.m, self.root, self.size = m, {}, 0
 
-    def add(self, part: str, words: list[str]) -> None:
-        node = self.root.setdefault((part, words[0]), {})
+    def add(self, part: str, phrase: str, count: int = 1) -> None:
+        first, _, rest = phrase.partition(" ")
+        node = self.root.setdefault((part, first), {})
         if isinstance(node, _Burst):
-            node = node.setdefault(words[1], {})
-            rest = " ".join(words[2:])
-        else:
-            rest = " ".join(words[1:])
+            second, _, rest = rest.partition(" ")
+            node = node.setdefault(second, {})
         before = len(node)
-        node[rest] = node.get(rest, 0) + 1
+        node[rest] = node.get(rest, 0) + count
         self.size += len(node) - before
-        if len(node) > BURST and self.m > 2 and node is self.root[(part, words[0])]:
-            self._burst(part, words[0])
+        if len(node) > BURST and self.m > 2 and node is self.root[(part, first)]:
+            self._burst(part, first)
 
     def _burst(self, part: str, first: str) -> None:
         old = self.root[(part, first)]
@@ -160,10 +161,14 @@ def count_level(m: int, bitmap_value):
             keep = start[member(left) & member(right)]
             if len(keep) == 0:
                 continue
-            words = words_col.flatten().to_pylist()
-            parts = batch.column("part").to_pylist()
-            for s, p in zip(keep.tolist(), piece[keep].tolist()):
-                counter.add(parts[p], words[s:s + m])
+            # The batch's windows are counted first, vectorised; the trie takes distinct phrases.
+            flat = words_col.flatten()
+            words = [flat.take(pa.array(keep + j)) for j in range(m)]
+            found = pa.table({"part": batch.column("part").take(pa.array(piece[keep])),
+                              "phrase": pc.binary_join_element_wise(*words, " ")})
+            counted = found.group_by(["part", "phrase"]).aggregate([([], "count_all")])
+            for part, phrase, count in zip(*(counted.column(c).to_pylist() for c in ("part", "phrase", "count_all"))):
+                counter.add(part, phrase, count)
             yield from emit(False)
         yield from emit(True)
     return run

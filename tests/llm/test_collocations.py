@@ -66,8 +66,8 @@ def test_hat_trie_bursts_and_spills(spark, monkeypatch):
     monkeypatch.setattr(collocations, "BURST", 2)
     monkeypatch.setattr(collocations, "SPILL", 3)
     counter = collocations.HatCounter(3)
-    for ws in (["a", "b", "c"], ["a", "b", "d"], ["a", "c", "d"], ["a", "b", "c"], ["b", "a", "a"]):
-        counter.add("en", ws)
+    for phrase in ("a b c", "a b d", "a c d", "a b c", "b a a"):
+        counter.add("en", phrase)
     got = list(counter.runs(True))
     assert got == [("en", "a b c", 2), ("en", "a b d", 1), ("en", "a c d", 1), ("en", "b a a", 1)]
 

@@ -90,6 +90,21 @@ def pairs_by_accepted_answer(
     return _pair_columns(unique_lookup_join(questions, lookup, "accepted_answer_id", hot_rows))
 
 
+def acquire_pairs(questions: DataFrame, answers: DataFrame, path: str) -> DataFrame:
+    """Writes the pairs of ``questions`` and ``answers`` to ``path``; one row of the counts
+    (questions loaded, pairs matched), observed while that one write runs, without another pass."""
+    from pyspark.sql import Observation
+
+    from ..sources import write_table
+
+    loaded, matched = Observation("questions_loaded"), Observation("answers_matched")
+    seen = questions.observe(loaded, F.count(F.lit(1)).alias("n"))
+    pairs = pairs_by_question(seen, answers).observe(matched, F.count(F.lit(1)).alias("n"))
+    write_table(pairs, path)
+    spark = questions.sparkSession
+    return spark.createDataFrame([(loaded.get["n"], matched.get["n"])], "questions_loaded long, answers_matched long")
+
+
 def acquisition_counts(questions: DataFrame, pairs: DataFrame) -> DataFrame:
     """One row: questions loaded and pairs matched."""
     loaded = questions.agg(F.count(F.lit(1)).alias("questions_loaded"))

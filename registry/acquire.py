@@ -102,6 +102,11 @@ def acquisition_counts(spark, sf_dir):
     return plan.acquisition_counts(questions, plan.pairs_by_question(questions, answers))
 
 
+def acquisition_counts_observed(spark, sf_dir):
+    """The counts of the acquisition stage, observed in the pass that writes its pairs."""
+    return plan.acquire_pairs(_questions(spark, sf_dir), _answers(spark, sf_dir), fresh_path(spark, "pairs"))
+
+
 def _landed(spark, sf_dir):
     """Responses of at most 100 items, by language and again by a second tag, as JSON lines."""
     docs = given(spark, sf_dir, "documents")
@@ -240,6 +245,7 @@ QUERIES = {
     "answer_csv_split": answer_csv_split,
     "csv_pairs": csv_pairs,
     "acquisition_counts": acquisition_counts,
+    "acquisition_counts_observed": acquisition_counts_observed,
     "landed_questions": landed_questions,
     "landed_answers": landed_answers,
     "landed_pairs": landed_pairs,
@@ -338,6 +344,7 @@ ORACLE["report_sink"] = _report_oracle()
 # Read by split, the dumps give the same rows as read whole.
 ORACLE["question_csv_split"] = ORACLE["question_csv_scan"]
 ORACLE["answer_csv_split"] = ORACLE["answer_csv_scan"]
+ORACLE["acquisition_counts_observed"] = ORACLE["acquisition_counts"]
 ORACLE["json_document_split"] = ORACLE["json_array_scan"]
 ORACLE["landed_question_documents"] = ORACLE["landed_questions"]
 
@@ -350,6 +357,7 @@ COVERS = {
     "answer_csv_split": ("S2", "P2", "P3", "W1", "F15"),
     "csv_pairs": ("S1", "S2", "J1", "W1", "P9", "F1"),
     "acquisition_counts": ("A25",),
+    "acquisition_counts_observed": ("A25", "S7"),
     "landed_questions": ("S4", "P4", "W2"),
     "landed_answers": ("S4", "W3"),
     "landed_pairs": ("S4", "J2", "W2", "W3", "P9"),

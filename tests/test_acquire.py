@@ -128,3 +128,16 @@ def test_keep_first_flags(spark):
     rows = spark.createDataFrame([(1, 1), (1, 2), (None, 3), (None, 4), (2, 5), (1, 6)], "k int, p int")
     got = {r.p: r.is_duplicate for r in duplicate_flags(rows, "k", "p").collect()}
     assert got == {1: False, 2: True, 3: False, 4: True, 5: False, 6: True}
+
+
+def test_counts_observed_in_the_write(spark, tmp_path):
+    from registry import acquire as R
+    from registry.working import given
+
+    sf = "/root/testdata/sf0.001"
+    questions, answers = R._questions(spark, sf), R._answers(spark, sf)
+    path = str(tmp_path / "pairs")
+    counts = A.acquire_pairs(questions, answers, path).first()
+    written = spark.read.parquet(path)
+    assert counts.answers_matched == written.count() == A.pairs_by_question(questions, answers).count()
+    assert counts.questions_loaded == questions.count() and given(spark, sf, "documents").count() > 0

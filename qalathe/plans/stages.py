@@ -64,7 +64,7 @@ def run_stages(
     write_json(preprocess.feature_statistics(processed), place["feature_statistics"])
     promoted = validate.promote(processed, checks, place["validated"])
 
-    table = spark.read.parquet(place["validated"]) if promoted else processed
+    table = validate.read_validated(spark, place["validated"]) if promoted else processed
     report = bias.bias_report(table, min_samples)
     write_table(report["slices"], place["slices"])
     verdicts = spark.read.parquet(place["slices"])

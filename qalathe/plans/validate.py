@@ -335,8 +335,47 @@ def gated(df: DataFrame, checks: DataFrame) -> DataFrame:
 
 
 def promote(df: DataFrame, checks: DataFrame, path: str) -> bool:
-    """Writes the table to its validated place when the checks hold; else leaves that place alone."""
+    """Writes the table as a new version under ``path`` when the checks hold, then points to it.
+
+    The version is written whole first; only then a pointer file is put in place by a rename.
+    A run that dies while writing leaves the last pointer, so the last validated version stays
+    the one that :func:`read_validated` gives. Older versions stay until they are cleared.
+    """
+    import time
+    import uuid
+
     valid = bool(verdict(checks).head()["is_valid"])
     if valid:
-        write_table(df, path)
+        version = f"v-{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
+        write_table(df, f"{path}/{version}")
+        _point(df.sparkSession, path, version)
     return valid
+
+
+def _fs(spark, path: str):
+    jvm = spark._jvm
+    name = jvm.org.apache.hadoop.fs.Path(path)
+    return name.getFileSystem(spark._jsc.hadoopConfiguration()), name
+
+
+def _point(spark, path: str, version: str) -> None:
+    fs, _ = _fs(spark, path)
+    Path = spark._jvm.org.apache.hadoop.fs.Path
+    staged = Path(f"{path}/_staged-{version}")
+    out = fs.create(staged, True)
+    out.write(bytearray(version.encode()))
+    out.close()
+    if not fs.rename(staged, Path(f"{path}/_pointer-{version}")):
+        raise OSError(f"could not point {path} to {version}")
+
+
+def read_validated(spark, path: str) -> DataFrame | None:
+    """The version that the newest pointer under ``path`` names, or None where none was promoted."""
+    fs, name = _fs(spark, path)
+    if not fs.exists(name):
+        return None
+    pointers = sorted(s.getPath().getName() for s in fs.listStatus(name)
+                      if s.getPath().getName().startswith("_pointer-"))
+    if not pointers:
+        return None
+    return spark.read.parquet(f"{path}/{pointers[-1][len('_pointer-'):]}")

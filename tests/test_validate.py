@@ -2,6 +2,7 @@
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from qalathe import defaults as D
 from qalathe.plans import profile, validate as V
@@ -99,7 +100,24 @@ def test_gate(spark, frame, tmp_path):
     assert not V.promote(bad, V.quality_checks(bad), place)
     assert V.promote(frame, V.quality_checks(frame), place)
     assert not V.promote(bad, V.quality_checks(bad), place)
-    assert spark.read.parquet(place).count() == 100
+    assert V.read_validated(spark, place).count() == 100
+
+
+def test_promotion_that_dies_while_writing_keeps_the_last_version(spark, frame, tmp_path, monkeypatch):
+    place = str(tmp_path / "validated")
+    assert V.read_validated(spark, place) is None
+    assert V.promote(frame, V.quality_checks(frame), place)
+    first = sorted(r.title for r in V.read_validated(spark, place).collect())
+
+    def dies(df, path):
+        df.limit(1).write.parquet(path)  # part of the version is there
+        raise RuntimeError("executor lost")
+
+    monkeypatch.setattr(V, "write_table", dies)
+    changed = frame.withColumn("title", F.concat(frame.title, F.lit("!")))
+    with pytest.raises(RuntimeError):
+        V.promote(changed, V.quality_checks(changed), place)
+    assert sorted(r.title for r in V.read_validated(spark, place).collect()) == first
 
 
 def test_profile(spark):

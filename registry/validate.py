@@ -48,7 +48,7 @@ def text_checks(spark, sf_dir):
 
 def distribution_checks(spark, sf_dir):
     docs = given(spark, sf_dir, "documents").select(
-        F.lit(1).alias("score"), F.array("lang").alias("tags"))
+        F.col("n_chars").alias("score"), F.array("lang").alias("tags"))
     return _checks(plan.distribution_checks(docs, min_tags=5))
 
 
@@ -349,8 +349,10 @@ WITH qa_base AS ({W.QA_BASE_SQL}), m AS (SELECT {_COMMON}, {_BLANK_TITLE} FROM q
     "text_checks": f"""
 WITH qa_base AS ({W.QA_BASE_SQL}), m AS (SELECT {_COMMON} FROM qa_base)
 """ + _table(*_text_rows()),
-    "distribution_checks": "WITH m AS (SELECT count(DISTINCT lang) AS tag_n FROM documents) " + _table(
-        _row(400, "feature_distribution", "score", "'warn'", "0", 0, "'All scores are identical'"),
+    "distribution_checks": "WITH m AS (SELECT count(DISTINCT lang) AS tag_n, stddev_samp(n_chars) AS sd"
+                           " FROM documents) " + _table(
+        _row(400, "feature_distribution", "score", "CASE WHEN sd = 0 THEN 'warn' END", "sd", 0,
+             "'All scores are identical'"),
         _row(401, "feature_distribution", "tags", "CASE WHEN tag_n < 5 THEN 'warn' END", "tag_n", 5,
              "'Very few unique tags found'")),
     "anomaly_checks": f"""

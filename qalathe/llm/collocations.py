@@ -2,10 +2,10 @@
 
 Counting is level by level. Words are counted by Spark. For phrases of m words, each batch of a task
 first counts its windows by phrase (vectorised, exact), and the task gathers those counts in a
-HAT-trie: hash containers under a shallow trie of (part, first word), a container that grows
-past ``BURST`` entries bursts into containers by its second word, and when the task holds more
-than ``SPILL`` entries, whole subtrees leave as sorted runs. Spark merges the runs by phrase with
-map-side combining, so a frequent first word is no hot key.
+HAT-trie of Arrow containers: a shallow level deals phrases by the hash of their first word into
+``FANOUT`` containers, a container that grows past ``BURST`` rows bursts (is merged by phrase),
+and when the task holds more than ``SPILL`` rows, all containers leave as sorted runs. Spark
+merges the runs by phrase with map-side combining, so a frequent first word is no hot key.
 
 A phrase can reach the threshold only if the phrases of m - 1 words at both its ends do, so a task
 counts only windows whose two ends are in a bitmap of the frequent phrases of the level below.
@@ -40,8 +40,9 @@ from .work import forget, saved
 MIN_COUNT = 100
 MAX_WORDS = 5
 TOP = 2000
-BURST = 4096
-SPILL = 1_000_000
+FANOUT = 256
+BURST = 200_000
+SPILL = 2_000_000
 MIN_BITS, MAX_BITS = 1 << 16, 1 << 28
 
 _PIECES = r"[.,;:!?\x0A-\x0D]"
@@ -71,51 +72,47 @@ def pieces(docs: DataFrame, text: str = "text", part: str = "lang") -> DataFrame
                 F.transform("words", lambda w: F.xxhash64(w)).alias("hashes")))
 
 
-class _Burst(dict):
-    """A container that burst: containers by the phrase's second word."""
-
-
 class HatCounter:
-    """Counts of phrases in hash containers under a shallow trie of (part, first word)."""
+    """Counts of phrases in a HAT-trie of Arrow containers.
+
+    The shallow trie level deals phrases by the hash of their first word into ``FANOUT``
+    containers. A container collects counted rows; past ``BURST`` rows it bursts, that is, it
+    is merged by (part, phrase) into one table. Past ``SPILL`` rows in all containers, every
+    container leaves as a run sorted by (part, phrase) and the trie starts empty.
+    """
 
     def __init__(self, m: int) -> None:
-        self.m, self.root, self.size = m, {}, 0
-
-    def add(self, part: str, phrase: str, count: int = 1) -> None:
-        first, _, rest = phrase.partition(" ")
-        node = self.root.setdefault((part, first), {})
-        if isinstance(node, _Burst):
-            second, _, rest = rest.partition(" ")
-            node = node.setdefault(second, {})
-        before = len(node)
-        node[rest] = node.get(rest, 0) + count
-        self.size += len(node) - before
-        if len(node) > BURST and self.m > 2 and node is self.root[(part, first)]:
-            self._burst(part, first)
-
-    def _burst(self, part: str, first: str) -> None:
-        old = self.root[(part, first)]
-        children = _Burst()
-        for rest, count in old.items():
-            second, _, tail = rest.partition(" ")
-            children.setdefault(second, {})[tail] = count
-        self.root[(part, first)] = children
-
-    def runs(self, everything: bool) -> Iterator[tuple]:
-        """All subtrees as sorted runs, once more than ``SPILL`` entries are held or at the end."""
-        if not everything and self.size <= SPILL:
+        self.m = m
+        self.containers: list[list[pa.Table]] = [[] for _ in range(FANOUT)]
+        self.rows = np.zeros(FANOUT, dtype=np.int64)
+
+    def add(self, counted: pa.Table, first: np.ndarray) -> None:
+        """Rows (part, phrase, f) with the 64-bit hash of each phrase's first word."""
+        bucket = (first % np.uint64(FANOUT)).astype(np.int64)
+        order = np.argsort(bucket, kind="stable")
+        bounds = np.searchsorted(bucket[order], np.arange(FANOUT + 1))
+        for k in np.flatnonzero(np.diff(bounds)):
+            rows = counted.take(pa.array(order[bounds[k]:bounds[k + 1]]))
+            self.containers[k].append(rows)
+            self.rows[k] += rows.num_rows
+            if self.rows[k] > BURST:
+                self.containers[k] = [_merged(self.containers[k])]
+                self.rows[k] = self.containers[k][0].num_rows
+
+    def runs(self, everything: bool) -> Iterator[pa.Table]:
+        """All containers as sorted runs, once more than ``SPILL`` rows are held or at the end."""
+        if not everything and self.rows.sum() <= SPILL:
             return
-        for key in sorted(self.root):
-            part, first = key
-            node = self.root.pop(key)
-            if isinstance(node, _Burst):
-                for second in sorted(node):
-                    for tail, count in sorted(node[second].items()):
-                        yield part, f"{first} {second} {tail}", count
-            else:
-                for rest, count in sorted(node.items()):
-                    yield part, f"{first} {rest}" if rest else first, count
-        self.size = 0
+        for k in range(FANOUT):
+            if self.containers[k]:
+                yield _merged(self.containers[k]).sort_by([("part", "ascending"), ("phrase", "ascending")])
+        self.containers = [[] for _ in range(FANOUT)]
+        self.rows[:] = 0
+
+
+def _merged(tables: list[pa.Table]) -> pa.Table:
+    both = pa.concat_tables(tables)
+    return both.group_by(["part", "phrase"]).aggregate([("f", "sum")]).rename_columns(["part", "phrase", "f"])
 
 
 def _window_hashes(part_hash: np.ndarray, hashes: np.ndarray, piece: np.ndarray, m: int):
@@ -138,12 +135,11 @@ def count_level(m: int, bitmap_value):
         counter = HatCounter(m)
 
         def emit(everything):
-            rows = list(counter.runs(everything))
-            if rows:
-                p, ph, f = zip(*rows)
+            for run in counter.runs(everything):
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(p, pa.string()), pa.array([m] * len(rows), pa.int32()), pa.array(ph, pa.string()),
-                     pa.array(f, pa.int64())], names=["part", "m", "phrase", "f"])
+                    [run.column("part").combine_chunks(), pa.array(np.full(run.num_rows, m, dtype=np.int32)),
+                     run.column("phrase").combine_chunks(), run.column("f").combine_chunks().cast(pa.int64())],
+                    names=["part", "m", "phrase", "f"])
 
         def member(h):
             pos = h % nbits
@@ -162,13 +158,15 @@ def count_level(m: int, bitmap_value):
             if len(keep) == 0:
                 continue
             # The batch's windows are counted first, vectorised; the trie takes distinct phrases.
-            flat = words_col.flatten()
-            words = [flat.take(pa.array(keep + j)) for j in range(m)]
+            flat_words = words_col.flatten()
+            words = [flat_words.take(pa.array(keep + j)) for j in range(m)]
             found = pa.table({"part": batch.column("part").take(pa.array(piece[keep])),
-                              "phrase": pc.binary_join_element_wise(*words, " ")})
-            counted = found.group_by(["part", "phrase"]).aggregate([([], "count_all")])
-            for part, phrase, count in zip(*(counted.column(c).to_pylist() for c in ("part", "phrase", "count_all"))):
-                counter.add(part, phrase, count)
+                              "phrase": pc.binary_join_element_wise(*words, " "),
+                              "first": pa.array(flat[keep].view(np.int64))})
+            counted = found.group_by(["part", "phrase", "first"]).aggregate([([], "count_all")])
+            counter.add(pa.table({"part": counted.column("part"), "phrase": counted.column("phrase"),
+                                  "f": counted.column("count_all")}),
+                        counted.column("first").to_numpy().view(np.uint64))
             yield from emit(False)
         yield from emit(True)
     return run

@@ -63,13 +63,18 @@ def test_equals_brute_force(spark):
 
 
 def test_hat_trie_bursts_and_spills(spark, monkeypatch):
+    import numpy as np
+    import pyarrow as pa
+
     monkeypatch.setattr(collocations, "BURST", 2)
     monkeypatch.setattr(collocations, "SPILL", 3)
     counter = collocations.HatCounter(3)
-    for phrase in ("a b c", "a b d", "a c d", "a b c", "b a a"):
-        counter.add("en", phrase)
-    got = list(counter.runs(True))
+    for phrases in (["a b c", "a b d"], ["a c d", "a b c"], ["b a a"]):
+        table = pa.table({"part": ["en"] * len(phrases), "phrase": phrases, "f": [1] * len(phrases)})
+        counter.add(table, np.array([hash(p.split()[0]) % 7 for p in phrases], dtype=np.uint64))
+    got = sorted(r for run in counter.runs(True) for r in zip(*(run.column(c).to_pylist() for c in ("part", "phrase", "f"))))
     assert got == [("en", "a b c", 2), ("en", "a b d", 1), ("en", "a c d", 1), ("en", "b a a", 1)]
+    assert list(counter.runs(True)) == []
 
 
 def test_long_text_and_empty_table(spark):

@@ -27,7 +27,7 @@ def rows_of(frame):
 @pytest.mark.parametrize("name", sorted(queries.ORACLE))
 def test_query(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "pages"):
+    for t in ("documents", "pages", "labels"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF_DIR}/{t}.parquet'")
     got, want = queries.QUERIES[name](spark, SF_DIR).toPandas(), con.execute(queries.ORACLE[name]).df()
     assert sorted(got.columns) == sorted(want.columns) and rows_of(got) == rows_of(want)

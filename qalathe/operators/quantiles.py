@@ -42,6 +42,14 @@ def _placed(counted: DataFrame, bounds: DataFrame, keys: list[str]) -> DataFrame
         *keys, "_v", "_n", "_total", F.expr(bucket).alias("_b"))
 
 
+def _written(df: DataFrame) -> DataFrame:
+    from ..session import fresh_path
+
+    path = fresh_path(df.sparkSession, "quantile-targets")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def _targets(totals: DataFrame, keys: list[str], parent: list[str], base, ranks: str) -> DataFrame:
     """Buckets that hold a wanted rank, with the values before them and the ranks they hold."""
     running = F.sum("_bn").over(Window.partitionBy(*keys, *parent).orderBy("_b"))
@@ -115,11 +123,13 @@ def exact_quantiles(
     # At most BUCKETS rows per key group from here to the join.
     totals = placed.groupBy(*keys, "_b").agg(
         F.expr("sum(_n) AS _bn"), F.expr("max(_total) AS _total"), F.expr("min(_v) AS _lo"), F.expr("max(_v) AS _hi"))
-    targets = _targets(totals, keys, [], F.lit(0).cast("long"), f"array_distinct(array({wanted}))")
+    # Targets are few rows: written once, the test for another round and the ranking read them.
+    targets = _written(_targets(totals, keys, [], F.lit(0).cast("long"), f"array_distinct(array({wanted}))"))
     for _ in range(ROUNDS):
         if targets.where(f"_bn > {MAX_RANKED} AND _lo < _hi").isEmpty():
             break
         placed, targets = _narrowed(placed, targets, keys)
+        targets = _written(targets)
     targets = targets.select(*keys, "_b", "_before", "_ranks")
     if few_groups:
         targets = F.broadcast(targets)  # at most two buckets per group and probability

@@ -40,6 +40,8 @@ from pyspark.sql.window import Window
 from ..session import fresh_path
 
 POSITION = "_pos"
+# Lines read at most to find a header record whose quoted names hold line breaks.
+HEADER_LINES = 10_000
 _SUMMARY = "file string, block long, t int, last0 long, last1 long, s int, line long, lead boolean, text string"
 _RECORDS = "file string, block long, line long, record string"
 
@@ -177,15 +179,32 @@ def records(spark: SparkSession, path) -> DataFrame:
     return whole.unionByName(joined)
 
 
+def _header(spark: SparkSession, path) -> str | None:
+    """The first record of the first file that has a line, read from its first lines only."""
+    for name in sorted(spark.read.text(path).inputFiles()):
+        lines, parity = [], 0
+        for row in spark.read.option("lineSep", "\n").text(name).select(
+                F.col("value").cast("binary").alias("v")).limit(HEADER_LINES).toLocalIterator():
+            lines.append(bytes(row.v))
+            parity ^= lines[-1].count(b'"') & 1
+            if parity == 0:
+                break
+        if lines:
+            crlf = lines[0].endswith(b"\r")
+            text = _text(lines)
+            return _CR.sub("", text) if crlf else text
+    return None
+
+
 def read_csv_split(spark: SparkSession, path, columns) -> DataFrame:
     """All-text CSV rows found by header name, with their place in the input as ``_pos``."""
-    recs = records(spark, path)
-    first = recs.where("block = 0 AND line = 0").orderBy("file").select("record").limit(1).collect()
-    if not first:
+    header = _header(spark, path)
+    if header is None:
         return spark.createDataFrame([], ", ".join(f"`{c}` string" for c in columns)
                                      + ", _pos struct<file: string, block: long, line: long>")
     opts = {"quote": '"', "escape": '"', "mode": "PERMISSIVE"}
-    names = _header_names(spark, first[0].record, opts)
+    names = _header_names(spark, header, opts)
+    recs = records(spark, path)
     schema = ", ".join(f"`c{k}` string" for k in range(len(names)))
     rows = recs.where("NOT (block = 0 AND line = 0)").select(
         F.from_csv("record", schema, opts).alias("r"), F.struct("file", "block", "line").alias(POSITION))

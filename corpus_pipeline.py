@@ -42,7 +42,8 @@ STAGES = [
     ("packing", pack),
 ]
 
-# The classifier is learned, which SQL cannot express; a test holds the stages against brute force.
+# The classifier is learned, which SQL cannot express. A test runs the stages one by one and holds run()
+# to them; the operators of the stages are tested against brute force on their own.
 ORACLE_SQL = None
 
 

@@ -58,11 +58,13 @@ def read_answers_csv_split(spark: SparkSession, path) -> DataFrame:
     return read_csv_split(spark, path, S.ANSWER_CSV_COLUMNS)
 
 
-def read_json_items(spark: SparkSession, path, schema: T.StructType, item_depth: int = 1) -> DataFrame:
+def read_json_items(
+    spark: SparkSession, path, schema: T.StructType, item_depth: int = 1, outside=None,
+) -> DataFrame:
     """Items of one JSON array per file, read by split; see ``split_json``."""
     from .split_json import read_json_items as read
 
-    return read(spark, path, schema, item_depth)
+    return read(spark, path, schema, item_depth, outside)
 
 
 def read_json_array(spark: SparkSession, path, schema: T.StructType, lines: bool = False) -> DataFrame:
@@ -99,10 +101,9 @@ def landed_question_documents(spark: SparkSession, path, tags=D.TAGS) -> DataFra
     from .split_json import read_json_items
 
     item = S.LANDED_QUESTIONS["items"].dataType.elementType
-    found = read_json_items(spark, path, item, item_depth=2)
+    found = read_json_items(spark, path, item, item_depth=2, outside=F.get_json_object("_outside", "$.tag"))
     order = F.array(*[F.lit(t) for t in tags]) if tags else F.array().cast("array<string>")
-    tag = F.get_json_object("_outside", "$.tag")
-    rank = F.array_position(order, F.coalesce(tag, F.lit("")))
+    rank = F.array_position(order, F.coalesce("_outside", F.lit("")))
     page = F.when(rank > 0, rank).otherwise(F.lit(len(tags) + 1).cast("long"))
     return found.select(*[c for c in found.columns if c not in ("_pos", "_outside")],
                         F.struct(page.alias("page"), "_pos.file", "_pos.kb", "_pos.kp", "_pos.ka").alias(POSITION))

@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import json
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import functions as F
 
 from qalathe import schemas as S
@@ -107,49 +112,99 @@ def acquisition_counts_observed(spark, sf_dir):
     return plan.acquire_pairs(_questions(spark, sf_dir), _answers(spark, sf_dir), fresh_path(spark, "pairs"))
 
 
-def _landed(spark, sf_dir):
+def _in_responses(rows, schema, size=100):
+    """``rows`` (group, item) as responses of at most ``size`` items of one group, in the shape of
+    ``schema``. They are cut from the batches a task reads, so no row is shuffled for them and no
+    group is gathered."""
+    group, items = schema.fieldNames()
+
+    def run(batches):
+        for batch in batches:
+            codes = batch.column(0).dictionary_encode().indices.fill_null(-1).to_numpy(zero_copy_only=False)
+            order = np.argsort(codes, kind="stable")
+            found = codes[order]
+            first = np.flatnonzero(np.r_[True, found[1:] != found[:-1]]) if len(found) else np.array([], int)
+            sizes = np.diff(np.r_[first, len(found)])
+            cuts = np.concatenate([np.arange(s, s + n, size) for s, n in zip(first, sizes)] + [[len(found)]])
+            if len(cuts) > 1:
+                taken = batch.take(pa.array(order))
+                yield pa.RecordBatch.from_arrays(
+                    [taken.column(0).take(pa.array(cuts[:-1])),
+                     pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), taken.column(1))], names=[group, items])
+
+    return rows.mapInArrow(run, schema)
+
+
+def _landed_questions(spark, sf_dir):
     """Responses of at most 100 items, by language and again by a second tag, as JSON lines."""
     docs = given(spark, sf_dir, "documents")
     item = F.struct(
         (F.col("doc_id") + 1).alias("question_id"),
         F.when(F.col("doc_id") % 5 != 0, F.col("doc_id") * 2 + 10).alias("accepted_answer_id"),
         F.concat(F.col("tag"), F.lit(" &quot;"), F.col("doc_id")).alias("title"), F.col("text").alias("body"),
-        F.array("lang", "source").alias("tags"), (F.col("doc_id") % 101).alias("score"),
-        (F.col("doc_id") % 1009).alias("view_count"))
-    pages = docs.withColumn("tag", F.explode(F.array("lang", F.lit("all")))).withColumn(
-        "page", F.expr("doc_id div 100")).groupBy("tag", "page").agg(F.collect_list(item).alias("items"))
-    questions = fresh_path(spark, "landed-questions")
-    sources.write_jsonl(pages.select("tag", "items"), questions)
-    # Answer ids repeat between batches, the later batch counts.
+        F.array("lang", "source").alias("tags"), (F.col("doc_id") % 101).cast("long").alias("score"),
+        (F.col("doc_id") % 1009).cast("long").alias("view_count"))
+    rows = docs.withColumn("tag", F.explode(F.array("lang", F.lit("all")))).select("tag", item.alias("item"))
+    path = fresh_path(spark, "landed-questions")
+    sources.write_jsonl(_in_responses(rows, S.LANDED_QUESTIONS), path)
+    return path
+
+
+def _landed_answers(spark, sf_dir):
+    """Responses of at most 100 answers. Answer ids repeat between batches, the later batch counts."""
+    docs = given(spark, sf_dir, "documents")
     answer = F.struct(
         (F.col("doc_id") * 2 + 10).alias("answer_id"),
         F.concat(F.lit("<i>"), F.col("batch").cast("string"), F.lit("</i> "), F.col("text")).alias("body"),
-        (F.col("doc_id") % 89 - F.col("part")).alias("score"))
-    batches = docs.withColumn("part", F.explode(F.array(F.lit(0), F.lit(1)))).withColumn(
-        "batch", F.expr("doc_id div 100") * 2 + F.col("part")).groupBy("batch").agg(
-        F.collect_list(answer).alias("items"))
-    answers = fresh_path(spark, "landed-answers")
-    sources.write_jsonl(batches, answers)
-    return questions, answers
+        (F.col("doc_id") % 89 - F.col("part")).cast("long").alias("score"))
+    rows = docs.withColumn("part", F.explode(F.array(F.lit(0), F.lit(1)))).withColumn(
+        "batch", F.expr("doc_id div 100") * 2 + F.col("part")).select("batch", answer.alias("item"))
+    path = fresh_path(spark, "landed-answers")
+    sources.write_jsonl(_in_responses(rows, S.LANDED_ANSWERS), path)
+    return path
+
+
+def _write_documents(rows, path, head, tail):
+    """``rows`` (tag, item) as files that each hold one JSON document: the items of one tag in one
+    input split, after ``head(tag)`` and before ``tail``. The items pass through; none are gathered."""
+    def run(batches):
+        seen, n = {}, 0
+        for batch in batches:
+            tags, before = batch.column(0).to_pylist(), []
+            for tag in tags:
+                before.append("," if tag in seen else head(tag))
+                seen.setdefault(tag, len(seen))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([seen[t] for t in tags], pa.int32()), pa.array(range(n, n + len(tags)), pa.int64()),
+                 pc.binary_join_element_wise(pa.array(before, pa.string()), batch.column(1).cast(pa.string()), "")],
+                names=["document", "n", "value"])
+            n += len(tags)
+        if seen:
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(seen.values(), pa.int32()), pa.array([n] * len(seen), pa.int64()),
+                 pa.array([tail] * len(seen), pa.string())], names=["document", "n", "value"])
+
+    pieces = rows.mapInArrow(run, "document int, n long, value string")
+    pieces.sortWithinPartitions("document", "n").select("document", "value").write.partitionBy("document").text(path)
 
 
 _TAG_ORDER = ("en", "all")
 
 
 def landed_questions(spark, sf_dir):
-    path, _ = _landed(spark, sf_dir)
+    path = _landed_questions(spark, sf_dir)
     out = plan.distinct_landed_questions(sources.landed_questions(spark, path, _TAG_ORDER, lines=True))
     return _text_digest(out.withColumn("tags", F.concat_ws("|", "tags")), "body")
 
 
 def landed_answers(spark, sf_dir):
-    _, path = _landed(spark, sf_dir)
+    path = _landed_answers(spark, sf_dir)
     out = plan.distinct_landed_answers(sources.landed_answers(spark, path, lines=True))
     return _text_digest(out, "body")
 
 
 def landed_pairs(spark, sf_dir):
-    q, a = _landed(spark, sf_dir)
+    q, a = _landed_questions(spark, sf_dir), _landed_answers(spark, sf_dir)
     pairs = plan.pairs_by_accepted_answer(
         plan.distinct_landed_questions(sources.landed_questions(spark, q, _TAG_ORDER, lines=True)),
         plan.distinct_landed_answers(sources.landed_answers(spark, a, lines=True)))
@@ -170,20 +225,21 @@ def json_arrays(spark, sf_dir):
 def json_document_split(spark, sf_dir):
     """Pairs as files that each hold one JSON array (the rows of one input split), read back by split."""
     base = W.qa_base(spark, sf_dir)
-    documents = base.groupBy(F.spark_partition_id().alias("_p")).agg(
-        F.to_json(F.collect_list(F.struct(*base.columns))).alias("value"))
     path = fresh_path(spark, "json-documents")
-    documents.write.partitionBy("_p").text(path)
-    out = sources.read_json_items(spark, path, S.QA_PAIRS).drop("_pos", "_outside")
+    rows = base.select(F.lit(None).cast("string").alias("tag"), F.to_json(F.struct(*base.columns)).alias("item"))
+    _write_documents(rows, path, lambda _: "[", "]")
+    # Nothing but the brackets lies outside the items.
+    out = sources.read_json_items(spark, path, S.QA_PAIRS, outside=F.lit(None)).drop("_pos", "_outside")
     return _text_digest(out.withColumn("tags", F.concat_ws("|", "tags")), "question_body", "answer_body")
 
 
 def landed_question_documents(spark, sf_dir):
-    """Landed question responses, one document per file, read back by split."""
-    path, _ = _landed(spark, sf_dir)
+    """Landed question responses as one document per tag and input split, each a file, read back by split."""
+    path = _landed_questions(spark, sf_dir)
     single = fresh_path(spark, "landed-documents")
-    spark.read.text(path).select("value", F.get_json_object("value", "$.tag").alias("t"),
-                                 F.xxhash64("value").alias("h")).write.partitionBy("t", "h").text(single)
+    responses = spark.read.schema(S.LANDED_QUESTIONS).json(path)
+    rows = responses.select("tag", F.explode("items").alias("item")).select("tag", F.to_json("item").alias("item"))
+    _write_documents(rows, single, lambda tag: f'{{"tag":{json.dumps(tag)},"items":[', "]}")
     out = plan.distinct_landed_questions(sources.landed_question_documents(spark, single, _TAG_ORDER))
     return _text_digest(out.withColumn("tags", F.concat_ws("|", "tags")), "body")
 

@@ -57,3 +57,48 @@ def test_items_inside_a_document_and_the_rest(spark, tmp_path, small_splits):
 def test_empty_file(spark, tmp_path):
     (tmp_path / "e.json").write_text("")
     assert read_json_items(spark, str(tmp_path), SCHEMA).count() == 0
+
+
+def _batches(column, values, size=50):
+    import pyarrow as pa
+
+    for i in range(0, len(values), size):
+        part = values[i:i + size]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(["f"] * len(part)), pa.array([0] * len(part)), pa.array(part, pa.binary())],
+            names=["file", "block", column])
+
+
+def test_a_task_does_not_hold_its_split(monkeypatch):
+    """Items leave while the split is still being read."""
+    from types import SimpleNamespace
+
+    from qalathe.sources import split_json
+
+    monkeypatch.setattr(split_json, "HELD_CHARS", 1000)
+    taken = []
+
+    def source():
+        for batch in _batches("piece", json.dumps(_items(500)).encode().split(b",")):
+            taken.append(batch.num_rows)
+            yield batch
+
+    run = split_json.assemble(SimpleNamespace(value={("f", 0): (False, 0, None, True)}), 1)(source())
+    next(run)
+    early = len(taken)
+    rest = sum(1 for _ in run)
+    assert rest > 3 and early * 3 < len(taken)
+
+
+def test_documents_hold_one_tag_of_a_split_each(spark, tmp_path):
+    from registry.acquire import _write_documents
+
+    rows = spark.range(0, 1000, 1, 3).select(
+        F.when(F.col("id") % 7 == 0, None).when(F.col("id") % 2 == 0, 'a "b"').otherwise("").alias("tag"),
+        F.to_json(F.struct("id")).alias("item"))
+    path = str(tmp_path / "documents")
+    _write_documents(rows, path, lambda tag: f'{{"tag":{json.dumps(tag)},"items":[', "]}")
+    files = [json.loads(r.value) for r in spark.read.text(path, wholetext=True).collect()]
+    assert len(files) == 9  # three tags in each of three splits, not one file for every hundred items
+    assert sorted(x["id"] for d in files for x in d["items"]) == list(range(1000))
+    assert all((x["id"] % 7 == 0) == (d["tag"] is None) for d in files for x in d["items"])

@@ -85,3 +85,25 @@ def test_texts_are_cleaned_once(spark):
     plan = P.preprocess(pairs(spark, [record()]).repartition(2), AT)._jdf.queryExecution().optimizedPlan().toString()
     conditions = [line for line in plan.splitlines() if "Filter" in line]
     assert conditions and not any("regexp_replace" in line for line in conditions)
+
+
+def test_feature_statistics_reads_its_table_once(spark):
+    from pyspark.sql import functions as F
+
+    from qalathe.plans.preprocess import feature_statistics
+
+    rows = spark.createDataFrame(
+        [(["a", "b"], ["k"], "q1", "simple", ["t", None], 2.0), ([], ["k"], "q1", None, [], 4.0),
+         (None, None, "q2", "simple", ["t"], None)],
+        "error_signatures array<string>, infra_components array<string>, question_type string,"
+        " complexity string, tags array<string>, quality_score double")
+    out = feature_statistics(rows)
+    assert out._jdf.queryExecution().analyzed().toString().count("LogicalRDD") == 1
+    got = {(r.feature, r.value): (r.n, r.mean) for r in out.collect()}
+    assert got == {
+        ("error_signatures", "a"): (1, None), ("error_signatures", "b"): (1, None),
+        ("infra_components", "k"): (2, None), ("question_type", "q1"): (2, None),
+        ("question_type", "q2"): (1, None), ("complexity", "simple"): (2, None), ("tags", "t"): (2, None),
+        ("quality_score", ""): (2, 3.0)}
+    none = feature_statistics(rows.where(F.lit(False))).collect()
+    assert [(r.feature, r.n, r.mean) for r in none] == [("quality_score", 0, None)]

@@ -136,3 +136,30 @@ def test_only_unusual_entities_reach_python(spark):
     share = spark.read.parquet("/root/testdata/sf0.001/pages.parquet").agg(
         F.avg(fx.html.has_usual_entities_only(F.regexp_replace("html", "<[^>]+>", " ")).cast("int"))).first()[0]
     assert share > 0.99
+
+
+def test_phrases_are_found_in_one_pass_over_the_bytes(monkeypatch):
+    """As ``in`` finds them: at both ends, never across two texts, in slices, null and empty texts."""
+    import random
+
+    import pyarrow as pa
+
+    from qalathe.functions import phrases
+
+    monkeypatch.setattr(phrases, "SLICE_BYTES", 37)
+    draw = random.Random(5)
+    texts = ["".join(draw.choice("abé ") for _ in range(draw.randrange(12))) for _ in range(400)] + [None, "", "a"]
+    wanted = ["", "a", "ab", "ba", "aba", "é", "é a", "abab", "b a", "zz", " "]
+    whole = pa.array(texts, pa.string())
+    for array, plain in ((whole, texts), (whole.slice(7, 90), texts[7:97]), (pa.array([], pa.binary()), [])):
+        got = phrases.phrases_found(array, [p.encode() for p in wanted])
+        assert got.tolist() == [[t is not None and p in t for p in wanted] for t in plain]
+
+
+def test_labels_by_plain_phrases_use_no_search_per_phrase(spark):
+    rows = spark.createDataFrame([("x OOM and gpu",), ("",), (None,), ("K8S POD",)], "t string")
+    found = rows.select(F.col("t"), fx.infra_components("t").alias("i"), fx.error_signatures("t").alias("e"))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "nvidia" not in plan and "quota exceeded" not in plan
+    assert [(r.i, r.e) for r in found.collect()] == [
+        (["gpu"], ["OOMKilled", "GPUError"]), ([], []), ([], []), (["kubernetes"], [])]

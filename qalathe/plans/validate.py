@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from .. import defaults as D
 from ..functions import has_leftover_tags, is_blank
-from ..operators import beside, duplicate_summary, exact_quantiles, most_frequent, value_counts
+from ..operators import beside, column_quantiles, duplicate_summary, exact_quantiles, most_frequent, value_counts
 from ..sources import write_table
 from .checks import Suite, check_row, percent, run_suites, share, verdict
 
@@ -262,7 +262,7 @@ def anomalies(
 def describe_numbers(df: DataFrame, columns=None, approximate: bool = False) -> DataFrame:
     """count, mean, std, min, quartiles and max, one row per numeric column.
 
-    The moments of every column come from one aggregation; quartiles from :func:`exact_quantiles`.
+    The moments of every column come from one aggregation; quartiles from :func:`column_quantiles`.
     """
     columns = numeric_columns(df) if columns is None else _present(df, columns)
     moments = df.agg(*[
@@ -277,7 +277,7 @@ def describe_numbers(df: DataFrame, columns=None, approximate: bool = False) ->
         for c in columns
     ])))
     # One row per column on both sides.
-    quartiles = exact_quantiles(_long(df, columns), ["column"], "value", QUARTILES, approximate)
+    quartiles = column_quantiles(df, columns, QUARTILES, approximate)
     return moments.join(F.broadcast(quartiles), "column", "left").select(
         "column", "count", "mean", "std", "min", "q25", "q50", "q75", "max")
 
@@ -297,7 +297,7 @@ def describe_texts(df: DataFrame, columns=D.TEXT_COLUMNS, median: bool = False)
     ]))).select("column", "s.*")
     if not median:
         return stats
-    mid = exact_quantiles(_long(lengths, columns), ["column"], "value", {"median_length": 0.5})
+    mid = column_quantiles(lengths, columns, {"median_length": 0.5})
     return stats.join(F.broadcast(mid), "column", "left")
 
 

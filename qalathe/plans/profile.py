@@ -9,9 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import defaults as D
-from ..operators import beside, duplicate_summary, exact_quantiles
+from ..operators import beside, column_quantiles, duplicate_summary
 from .checks import share
-from .validate import _long
 
 FEW_VALUES = 100
 _NUMBERS = ("mean", "std", "min", "max", "median", "q25", "q75")
@@ -81,9 +80,8 @@ def column_profile(df: DataFrame, approximate: bool = False) -> DataFrame:
     ]))).select("ordinal", "column", "dtype", "m.*")
     # The joined sides have at most one row per column.
     if numbers:
-        quartiles = exact_quantiles(
-            _long(df, numbers), ["column"], "value",
-            {"median": 0.5, "q25": 0.25, "q75": 0.75}, approximate)
+        quartiles = column_quantiles(
+            df, numbers, {"median": 0.5, "q25": 0.25, "q75": 0.75}, approximate)
         table = table.join(F.broadcast(quartiles), "column", "left")
     else:
         table = table.withColumns({n: null for n in ("median", "q25", "q75")})

@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from .. import defaults as D
 from ..functions import has_leftover_tags, is_blank
-from ..operators import beside, column_quantiles, duplicate_summary, exact_quantiles, most_frequent, value_counts
+from ..operators import beside, column_quantiles, duplicate_summary, most_frequent, value_counts
 from ..sources import write_table
 from .checks import Suite, check_row, percent, run_suites, share, verdict
 
@@ -196,18 +196,11 @@ def validation_checks(df: DataFrame, min_rows: int = D.MIN_ROWS) -> DataFrame:
 
 # --- outliers -------------------------------------------------------------------------
 
-def _long(df: DataFrame, columns) -> DataFrame:
-    pairs = [F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value"))
-             for c in columns]
-    return df.select(F.inline(F.array(*pairs)))
-
-
 def iqr_bounds(
     df: DataFrame, columns=D.OUTLIER_COLUMNS, factor: float = D.IQR_FACTOR, approximate: bool = False,
 ) -> DataFrame:
     """Quartiles and outlier bounds, one row per column."""
-    q = exact_quantiles(
-        _long(df, _present(df, columns)), ["column"], "value", {"q25": 0.25, "q75": 0.75}, approximate)
+    q = column_quantiles(df, _present(df, columns), {"q25": 0.25, "q75": 0.75}, approximate)
     spread = F.col("q75") - F.col("q25")
     return q.select(
         "column", "q25", "q75",

@@ -113,7 +113,7 @@ def test_columns_without_values(spark):
     assert got.columns == ["column", "m"] and got.count() == 0
 
 
-@pytest.mark.parametrize("plan", ["describe_numbers", "column_profile"])
+@pytest.mark.parametrize("plan", ["describe_numbers", "column_profile", "iqr_bounds"])
 def test_values_are_not_placed_among_cut_points(spark, plan, monkeypatch):
     """Neither a row per value nor a search of cut points per value: both took the time of the queries."""
     from qalathe.operators import quantiles

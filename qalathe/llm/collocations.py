@@ -1,16 +1,19 @@
 """Phrase collocations: phrases of 2 to 5 words that occur together more than their parts predict.
 
-Counting is level by level. Words are counted by Spark. For phrases of m words, each batch of a task
-first counts its windows by phrase (vectorised, exact), and the task gathers those counts in a
-HAT-trie of Arrow containers: a shallow level deals phrases by the hash of their first word into
+A phrase is frequent only if the phrases of one word less at both its ends are. So for m = 1 to 5
+words a sketch is summed: a task hashes its windows whose two ends passed the level below, and sends
+how many fell to each bucket, in ranges of 2^16 buckets (3 bytes a bucket that is hit); Spark brings
+the counts of a range together, and the buckets that reach the threshold are the bitmap of the level.
+No text is built or moved for this. A bucket holds at least the occurrences of each of its phrases,
+so the bitmaps lose none; their size follows from the bytes of text, at most ``MAX_BITS`` bits.
+
+The windows that pass the bitmaps are then counted as texts, exactly, in one pass over all levels: a
+task counts the windows of some texts by phrase (vectorised) and gathers those counts in a HAT-trie of
+Arrow containers: a shallow level deals phrases by the hash of their first word into
 ``FANOUT`` containers, a container that grows past ``BURST`` rows bursts (is merged by phrase),
 and when the task holds more than ``SPILL`` rows, all containers leave as sorted runs. Spark
-merges the runs by phrase with map-side combining, so a frequent first word is no hot key.
-
-A phrase can reach the threshold only if the phrases of m - 1 words at both its ends do, so a task
-counts only windows whose two ends are in a bitmap of the frequent phrases of the level below.
-The bitmap is built by Spark (bit-or per word of the map) and its size is a parameter, at most
-``MAX_BITS`` bits; a false hit costs a counted phrase, never a missed one, so counts stay exact.
+merges the runs by phrase with map-side combining, so a frequent first word is no hot key. A false
+hit in a bitmap costs a counted phrase, never a missed one. The documents are read once for each pass.
 
 Scores: a = f(phrase), n = word occurrences of the part; a cut after k words has
 l = f(first k), r = f(rest) and score floor(1000 a n / (l r)), computed in 38-digit decimals.
@@ -25,7 +28,6 @@ candidate give no rows; an empty table gives no rows. Other columns never matter
 
 from __future__ import annotations
 
-import string
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,7 +37,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .work import forget, saved
+from . import textarrays as ta
+from .work import saved, slots
 
 MIN_COUNT = 100
 MAX_WORDS = 5
@@ -44,10 +47,17 @@ FANOUT = 256
 BURST = 200_000
 SPILL = 2_000_000
 MIN_BITS, MAX_BITS = 1 << 16, 1 << 28
-
-_PIECES = r"[.,;:!?\x0A-\x0D]"
-_WORDS = r"[\x20\x09]+"
-_RUN = "part string, m int, phrase string, f long"
+# Bytes of text for one bucket of a sketch, buckets of a range, windows hashed or counted at once.
+BUCKET_BYTES = 16
+RANGE_BITS = 16
+HASHED_AT_ONCE = 4_000_000
+COUNTED_AT_ONCE = 400_000
+
+_CUT = np.zeros(256, bool)
+_CUT[[*b".,;:!?", *range(0x0A, 0x0E)]] = True
+_BLANK = _CUT.copy()
+_BLANK[[0x20, 0x09]] = True
+_RUN = "part string, phrase string, f long"
 _C1, _C2, _C3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 
@@ -60,16 +70,40 @@ def mix(a: np.ndarray, b: np.ndarray) -> np.ndarray:
         return x ^ (x >> np.uint64(29))
 
 
-def pieces(docs: DataFrame, text: str = "text", part: str = "lang") -> DataFrame:
-    """(part, part_hash, words, hashes): one row per piece that holds a word."""
-    t = F.translate(F.coalesce(F.col(text), F.lit("")), string.ascii_uppercase, string.ascii_lowercase)
-    return (
-        docs.select(F.coalesce(F.col(part).cast("string"), F.lit("und")).alias("part"),
-                    F.explode(F.split(t, _PIECES)).alias("piece"))
-        .select("part", F.filter(F.split("piece", _WORDS), lambda w: w != "").alias("words"))
-        .where(F.size("words") > 0)
-        .select("part", F.xxhash64("part").alias("part_hash"), "words",
-                F.transform("words", lambda w: F.xxhash64(w)).alias("hashes")))
+class Words:
+    """The words of some texts: their bytes, pieces, parts and hashes."""
+
+    def __init__(self, batch: pa.RecordBatch) -> None:
+        data, bounds = ta.text_bytes(batch.column("text"))
+        self.data = ta.LOWER[data]
+        self.start, self.end, self.doc = ta.words(self.data, bounds, _BLANK)
+        # Grows with each cut and each text, so it names the piece of a word.
+        self.piece = np.cumsum(_CUT[self.data])[self.start] + self.doc
+        self.hashes = ta.span_hashes(self.data, self.start, self.end)
+        self.part_hash = batch.column("part_hash").to_numpy(zero_copy_only=False).view(np.uint64)
+
+    def windows(self, bitmaps: list[np.ndarray], most: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """(first words, hashes) of the windows of 1 to ``most`` words.
+
+        Where a level has a bitmap, its windows are those the bitmap holds; windows of the level
+        above have two of them as their ends.
+        """
+        at, level = np.arange(len(self.start)), mix(self.part_hash[self.doc], self.hashes)
+        for m in range(1, most + 1):
+            if m > 1:
+                # The window that begins one word later passed too, and ends in the same piece.
+                both = np.flatnonzero(at[1:] == at[:-1] + 1)
+                both = both[self.piece[at[both]] == self.piece[at[both] + m - 1]]
+                at, level = at[both], mix(level[both], self.hashes[at[both] + m - 1])
+            if m <= len(bitmaps):
+                held = _held(bitmaps[m - 1], level)
+                at, level = at[held], level[held]
+            yield at, level
+
+
+def _held(bitmap: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    place = hashes & np.uint64(8 * len(bitmap) - 1)
+    return (bitmap[(place >> np.uint64(3)).astype(np.int64)] >> (place & np.uint64(7)).astype(np.uint8)) & 1 == 1
 
 
 class HatCounter:
@@ -115,115 +149,138 @@ def _merged(tables: list[pa.Table]) -> pa.Table:
     return both.group_by(["part", "phrase"]).aggregate([("f", "sum")]).rename_columns(["part", "phrase", "f"])
 
 
-def _window_hashes(part_hash: np.ndarray, hashes: np.ndarray, piece: np.ndarray, m: int):
-    """Hash of every window of m words (and of m - 1 at each end) that stays in its piece."""
-    level = mix(part_hash[piece], hashes)
-    below = level
-    for k in range(2, m + 1):
-        below = level
-        level = mix(level[:-1], hashes[k - 1:])
-    start = np.arange(len(level))
-    ok = piece[start] == piece[start + m - 1]
-    return start[ok], below[:-1][ok], below[1:][ok]
+def _bucket_rows(places: np.ndarray, least: int, dtype) -> pa.RecordBatch:
+    """(range, buckets, counts) of the places hit; a count ends at ``least``."""
+    place, n = np.unique(places, return_counts=True)
+    part = place >> np.uint64(RANGE_BITS)
+    first = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]]))
+    bounds = np.append(first, len(place))
+
+    def blobs(values):
+        offsets = (bounds * values.itemsize).astype(np.int32)
+        return pa.BinaryArray.from_buffers(
+            pa.binary(), len(first), [None, pa.py_buffer(offsets), pa.py_buffer(values.tobytes())])
+
+    return pa.RecordBatch.from_arrays(
+        [pa.array(part[first].astype(np.int64)), blobs(place.astype(np.uint16)),
+         blobs(np.minimum(n, least).astype(dtype))], ["range", "buckets", "counts"])
 
 
-def count_level(m: int, bitmap_value):
-    """Task function: counts of phrases of m words whose ends are both in the bitmap."""
+def _bitmap(table: DataFrame, m: int, bitmaps: list, bits: int, least: int) -> np.ndarray:
+    """The buckets that hold at least ``least`` windows of m words, as a bitmap of ``bits`` bits."""
+    dtype = next(t for t in (np.uint8, np.uint16, np.uint64) if least <= np.iinfo(t).max)
+
+    def hit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = [b.value for b in bitmaps]
+        held, rows = [], 0
+        for batch in batches:
+            for piece in ta.slices(batch, "text"):
+                *_, (_, level) = Words(piece).windows(known, m)
+                held.append(level & np.uint64(bits - 1))
+                rows += len(level)
+                if rows >= HASHED_AT_ONCE:
+                    yield _bucket_rows(np.concatenate(held), least, dtype)
+                    held, rows = [], 0
+        if rows:
+            yield _bucket_rows(np.concatenate(held), least, dtype)
+
+    def reached(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # Ranges come one after the other.
+        last, counts = None, None
+
+        def row():
+            full = np.packbits(counts >= least, bitorder="little").tobytes()
+            return pa.RecordBatch.from_arrays([pa.array([last], pa.int64()), pa.array([full], pa.binary())], ["range", "bits"])
+
+        for batch in batches:
+            for k, buckets, n in zip(*(batch.column(c) for c in ("range", "buckets", "counts"))):
+                if k.as_py() != last:
+                    if last is not None:
+                        yield row()
+                    last, counts = k.as_py(), np.zeros(1 << RANGE_BITS, np.int64)
+                counts[np.frombuffer(buckets.as_py(), np.uint16)] += np.frombuffer(n.as_py(), dtype).astype(np.int64)
+        if last is not None:
+            yield row()
+
+    hits = table.mapInArrow(hit, "range long, buckets binary, counts binary")
+    found = hits.repartition(slots(table.sparkSession), "range").sortWithinPartitions("range").mapInArrow(
+        reached, "range long, bits binary").toArrow()
+    bitmap = np.zeros((bits >> RANGE_BITS, 1 << (RANGE_BITS - 3)), np.uint8)
+    for k, full in zip(found.column("range").to_pylist(), found.column("bits").to_pylist()):
+        bitmap[k] = np.frombuffer(full, np.uint8)
+    return bitmap.reshape(-1)
+
+
+def _counted(parts: list, phrases: list, first: list) -> tuple[pa.Table, np.ndarray]:
+    found = pa.table({"part": pa.concat_arrays(parts), "phrase": pa.concat_arrays(phrases),
+                      "first": pa.array(np.concatenate(first).view(np.int64))})
+    counted = found.group_by(["part", "phrase", "first"]).aggregate([([], "count_all")])
+    return (pa.table({"part": counted.column("part"), "phrase": counted.column("phrase"),
+                      "f": counted.column("count_all")}), counted.column("first").to_numpy().view(np.uint64))
+
+
+def count_phrases(bitmaps: list):
+    """Task function: (part, phrase, f) of the windows that the broadcast bitmaps of all levels let
+    pass, and rows without a phrase that hold the numbers of words."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = bitmap_value.value
-        nbits = np.uint64(len(bits) * 64)
-        counter = HatCounter(m)
+        known = [b.value for b in bitmaps]
+        counter = HatCounter(len(known))
+        held, rows = ([], [], []), 0
 
         def emit(everything):
             for run in counter.runs(everything):
                 yield pa.RecordBatch.from_arrays(
-                    [run.column("part").combine_chunks(), pa.array(np.full(run.num_rows, m, dtype=np.int32)),
-                     run.column("phrase").combine_chunks(), run.column("f").combine_chunks().cast(pa.int64())],
-                    names=["part", "m", "phrase", "f"])
-
-        def member(h):
-            pos = h % nbits
-            return (bits[(pos >> np.uint64(6)).astype(np.int64)] >> (pos & np.uint64(63))) & np.uint64(1) == 1
+                    [run.column(c).combine_chunks().cast(t) for c, t in
+                     (("part", pa.string()), ("phrase", pa.string()), ("f", pa.int64()))], names=["part", "phrase", "f"])
 
         for batch in batches:
-            words_col, hashes_col = batch.column("words"), batch.column("hashes")
-            lengths = np.diff(hashes_col.offsets.to_numpy(zero_copy_only=False))
-            if lengths.sum() < m:
-                continue
-            flat = hashes_col.flatten().to_numpy(zero_copy_only=False).view(np.uint64)
-            piece = np.repeat(np.arange(len(lengths)), lengths)
-            part_hash = batch.column("part_hash").to_numpy(zero_copy_only=False).view(np.uint64)
-            start, left, right = _window_hashes(part_hash, flat, piece, m)
-            keep = start[member(left) & member(right)]
-            if len(keep) == 0:
-                continue
-            # The batch's windows are counted first, vectorised; the trie takes distinct phrases.
-            flat_words = words_col.flatten()
-            words = [flat_words.take(pa.array(keep + j)) for j in range(m)]
-            found = pa.table({"part": batch.column("part").take(pa.array(piece[keep])),
-                              "phrase": pc.binary_join_element_wise(*words, " "),
-                              "first": pa.array(flat[keep].view(np.int64))})
-            counted = found.group_by(["part", "phrase", "first"]).aggregate([([], "count_all")])
-            counter.add(pa.table({"part": counted.column("part"), "phrase": counted.column("phrase"),
-                                  "f": counted.column("count_all")}),
-                        counted.column("first").to_numpy().view(np.uint64))
-            yield from emit(False)
+            for piece in ta.slices(batch, "text"):
+                words, part = Words(piece), piece.column("part").cast(pa.large_string())
+                texts = ta.span_texts(words.data, words.start, words.end)
+                total = pa.table({"part": part.take(pa.array(words.doc))}).group_by("part").aggregate([([], "count_all")])
+                yield pa.RecordBatch.from_arrays(
+                    [total.column("part").combine_chunks().cast(pa.string()), pa.nulls(total.num_rows, pa.string()),
+                     total.column("count_all").combine_chunks()], names=["part", "phrase", "f"])
+                for m, (at, _) in enumerate(words.windows(known, len(known)), 1):
+                    if not len(at):
+                        break
+                    joined = [texts.take(pa.array(at + j)) for j in range(m)]
+                    held[0].append(part.take(pa.array(words.doc[at])))
+                    held[1].append(pc.binary_join_element_wise(*joined, pa.scalar(" ", pa.large_string())) if m > 1 else joined[0])
+                    held[2].append(words.hashes[at])
+                    rows += len(at)
+                # The windows of some texts are counted first, vectorised; the trie takes distinct phrases.
+                if rows >= COUNTED_AT_ONCE:
+                    counter.add(*_counted(*held))
+                    held, rows = ([], [], []), 0
+                    yield from emit(False)
+        if rows:
+            counter.add(*_counted(*held))
         yield from emit(True)
     return run
 
 
-def _bitmap(spark, frequent: DataFrame, m: int):
-    """Broadcast bitmap of the phrases of m words in ``frequent``, sized by their number."""
-    n = frequent.count()
-    nbits = MIN_BITS
-    while nbits < 16 * n and nbits < MAX_BITS:
-        nbits *= 2
-    hashed = frequent.select(F.xxhash64("part").alias("ph"), F.transform(F.split("phrase", " "), lambda w: F.xxhash64(w)).alias("hs"))
-
-    def positions(batches):
-        for batch in batches:
-            ph = batch.column("ph").to_numpy(zero_copy_only=False).view(np.uint64)
-            hs = batch.column("hs")
-            if len(ph) == 0:
-                continue
-            flat = hs.flatten().to_numpy(zero_copy_only=False).view(np.uint64).reshape(-1, m)
-            h = mix(ph, flat[:, 0])
-            for k in range(1, m):
-                h = mix(h, flat[:, k])
-            pos = h % np.uint64(nbits)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array((pos >> np.uint64(6)).astype(np.int64)),
-                 pa.array((np.uint64(1) << (pos & np.uint64(63))).view(np.int64))], names=["word", "bit"])
-
-    words = (hashed.mapInArrow(positions, "word long, bit long")
-             .groupBy("word").agg(F.bit_or("bit").alias("bits")).toPandas())
-    bits = np.zeros(nbits // 64, dtype=np.uint64)
-    bits[words["word"].to_numpy()] = words["bits"].to_numpy().astype(np.int64).view(np.uint64)
-    return spark.sparkContext.broadcast(bits)
-
-
 def phrase_counts(docs: DataFrame, text: str = "text", part: str = "lang", min_count: int = MIN_COUNT):
     """(part, m, phrase, f) of every phrase of 1 to 5 words with f >= ``min_count``, and
-    (part, n) word occurrences per part. Both are work tables."""
+    (part, n) word occurrences per part. Both are of one work table."""
     spark = docs.sparkSession
-    table = saved(pieces(docs, text, part), "pieces")
-    words = table.select("part", F.explode("words").alias("phrase")).groupBy("part", "phrase").agg(
-        F.count(F.lit(1)).alias("f"))
-    totals = saved(words.groupBy("part").agg(F.sum("f").cast("long").alias("n")), "totals")
-    level = saved(words.where(F.col("f") >= min_count).select("part", F.lit(1).alias("m"), "phrase", "f"), "level")
-    levels = [level]
-    for m in range(2, MAX_WORDS + 1):
-        bitmap = _bitmap(spark, level, m - 1)
-        counted = table.mapInArrow(count_level(m, bitmap), _RUN)
-        level = saved(counted.groupBy("part", "m", "phrase").agg(F.sum("f").alias("f"))
-                      .where(F.col("f") >= min_count), "level")
+    table = docs.select(F.coalesce(F.col(part).cast("string"), F.lit("und")).alias("part"),
+                        F.coalesce(F.col(text), F.lit("")).alias("text")).withColumn("part_hash", F.xxhash64("part"))
+    size = table.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    bits = MIN_BITS
+    while bits * BUCKET_BYTES < size and bits < MAX_BITS:
+        bits *= 2
+    bitmaps = []
+    for m in range(1, MAX_WORDS + 1):
+        bitmaps.append(spark.sparkContext.broadcast(_bitmap(table, m, bitmaps, bits, min_count)))
+    counts = saved(
+        table.mapInArrow(count_phrases(bitmaps), _RUN).groupBy("part", "phrase").agg(F.sum("f").cast("long").alias("f"))
+        .where(F.col("phrase").isNull() | (F.col("f") >= min_count)), "phrases")
+    for bitmap in bitmaps:
         bitmap.unpersist()
-        levels.append(level)
-    forget(table)
-    frequent = levels[0]
-    for more in levels[1:]:
-        frequent = frequent.unionByName(more)
-    return frequent, totals
+    frequent = counts.where(F.col("phrase").isNotNull()).select(
+        "part", F.size(F.split("phrase", " ")).alias("m"), "phrase", "f")
+    return frequent, counts.where(F.col("phrase").isNull()).select("part", F.col("f").alias("n"))
 
 
 def collocations(docs: DataFrame, text: str = "text", part: str = "lang", min_count: int = MIN_COUNT,

@@ -30,6 +30,7 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from . import textarrays as ta
 from .components import components
@@ -371,6 +372,21 @@ def _verified(pairs: DataFrame, sizes: DataFrame, docs: DataFrame, n: int, perce
     return both.mapInArrow(batches, both.select("a", "b").schema)
 
 
+def _unlike_buckets(place: DataFrame) -> DataFrame:
+    """(sig, bucket) of the buckets that hold several components.
+
+    Documents that share one segment mostly share many. Buckets of the same rows are one, named by
+    the smallest signature, so that their pairs meet once. Rows are compared by two sums of hashes of
+    their ids, which add up whatever repeats.
+    """
+    sums = [F.sum(F.xxhash64("id", F.lit(k)).cast("decimal(20,0)")).alias(f"sum{k}") for k in range(2)]
+    found = place.groupBy("sig").agg(
+        F.min("component").alias("c"), F.max("component").alias("d"), F.count(F.lit(1)).alias("n"), *sums,
+    ).where("c <> d")
+    alike = Window.partitionBy("c", "d", "n", "sum0", "sum1")
+    return found.select("sig", F.min("sig").over(alike).alias("bucket"))
+
+
 def linked_documents(
     docs: DataFrame, n: int = 5, percent: int = 80, text: str = "text", doc_id: str = "doc_id",
 ) -> tuple[DataFrame, DataFrame]:
@@ -392,9 +408,10 @@ def linked_documents(
     # Where a bucket still holds several components, its pairs across them.
     place = met.join(nodes.withColumnRenamed("node", "id"), "id", "left").select(
         "sig", "id", F.col("size_role").bitwiseAND(3).alias("role"), F.coalesce("component", "id").alias("component"))
-    mixed = saved(place.groupBy("sig").agg(F.min("component").alias("c"), F.max("component").alias("d"))
-                  .where("c <> d").select("sig"), "mixed")
-    open_rows = saved(place.join(mixed, "sig", "left_semi").join(sizes, "id"), "open")
+    mixed = saved(_unlike_buckets(place), "mixed")
+    members = place.join(mixed, "sig").groupBy(F.col("bucket").alias("sig"), "id").agg(
+        F.bit_or("role").alias("role"), F.max("component").alias("component"))
+    open_rows = saved(members.join(sizes, "id"), "open")
     forget(met, mixed)
     a, b = (open_rows.select("sig", *[F.col(c).alias(f"{c}_{s}") for c in open_rows.columns if c != "sig"])
             for s in "ab")

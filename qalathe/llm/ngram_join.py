@@ -8,6 +8,9 @@ segments: it takes the cheapest, by how many documents hold them, and where too
 takes two for one by the one-deletion neighbourhoods of a segment. What meets is verified on the
 sets in full.
 
+Documents of equal sets are linked with the smallest id among them, which alone goes on: the others
+are left out by a filter of the ids that stay. What it lets through all the same finds no sketch later.
+
 Links that are implied are not looked for: in each bucket all members meet one of them first, and
 only pairs that this leaves in different components are verified as well.
 
@@ -18,11 +21,12 @@ them is linked with, all are. Other columns do not matter. An empty table gives
 
 N-grams are compared as 52-bit hashes. For a wrong verdict an n-gram of one set must collide with
 one of the other, less than one in 10^9 for sets of 1,000, and the pair must lie one n-gram from
-the threshold.
+the threshold. Equal sets are told by 128 bits of hash over their n-grams.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -50,6 +54,10 @@ _ROW_BITS = np.uint64(12)
 SKETCH_WORDS = 8
 PAIRS_AT_ONCE = 100
 
+# Bits of a filter of ids for each of them, and at least and most.
+BITS_PER_ID = 8
+MIN_BITS, MAX_BITS = 1 << 16, 1 << 28
+
 INDEX, PROBE = 1, 2
 
 
@@ -90,6 +98,36 @@ def ngram_sets(texts: pa.Array, n: int) -> tuple[np.ndarray, np.ndarray]:
     return keys & ((np.uint64(1) << (np.uint64(64) - _ROW_BITS)) - np.uint64(1)), np.concatenate([[0], np.cumsum(size)])
 
 
+class IdFilter:
+    """A bitmap of hashed ids, broadcast to the tasks: holds all the ids it is made of, and a few others.
+
+    It has ``BITS_PER_ID`` bits for each id, at most ``MAX_BITS``; it comes through the driver by
+    words of 64 bits.
+    """
+
+    def __init__(self, ids: DataFrame) -> None:
+        n, self.bits = ids.count(), MIN_BITS
+        while self.bits < min(BITS_PER_ID * n, MAX_BITS):
+            self.bits *= 2
+        found = ids.select(self.place()).groupBy(F.shiftright("place", 6).alias("word")).agg(
+            F.expr("bit_or(shiftleft(1L, cast(place & 63 as int)))").alias("held")).toArrow()
+        words = np.zeros(self.bits >> 6, np.int64)
+        words[found.column("word").to_numpy()] = found.column("held").to_numpy()
+        self.words = ids.sparkSession.sparkContext.broadcast(words.view(np.uint64))
+
+    def place(self):
+        """The column, of a table with ``id``, by which :func:`_kept` finds the bit."""
+        return F.pmod(F.xxhash64("id"), F.lit(self.bits)).alias("place")
+
+
+def _kept(parts: Iterator[pa.RecordBatch], words) -> Iterator[pa.RecordBatch]:
+    """The rows whose last column, the place, has its bit set in the broadcast ``words``."""
+    for part in parts:
+        place = part.columns[-1].to_numpy().view(np.uint64)
+        held = (words.value[(place >> np.uint64(6)).astype(np.int64)] >> (place & np.uint64(63))) & np.uint64(1)
+        yield part.filter(pa.array(held == 1))
+
+
 def _slices(parts: Iterator[pa.RecordBatch], text: str) -> Iterator[pa.RecordBatch]:
     for part in parts:
         for start in range(0, part.num_rows, SLICE_ROWS):
@@ -181,11 +219,13 @@ def segment_rows(
 
 
 def _signatures(
-    docs: DataFrame, text: str, n: int, bands: Bands, dear: np.ndarray, index_only: bool = False,
+    docs: DataFrame, text: str, n: int, bands: Bands, dear: np.ndarray, firsts: IdFilter, index_only: bool = False,
 ) -> DataFrame:
-    """(sig, id, size_role) rows of all documents; ``size_role`` is 4 * size + role."""
+    """(sig, id, size_role) rows of the documents in ``firsts``; ``size_role`` is 4 * size + role."""
+    words = firsts.words
+
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for piece in _slices(parts, text):
+        for piece in _slices(_kept(parts, words), text):
             tokens, bounds = ngram_sets(piece.column(1), n)
             size = np.diff(bounds)
             some = np.flatnonzero(size)
@@ -201,17 +241,17 @@ def _signatures(
                 ["sig", "id", "size_role"])
 
     schema = docs.select(F.lit(0).cast("long").alias("sig"), "id", F.lit(0).cast("long").alias("size_role")).schema
-    return docs.select("id", text).mapInArrow(batches, schema)
+    return docs.select("id", text, firsts.place()).mapInArrow(batches, schema)
 
 
-def _dear_signatures(docs: DataFrame, text: str, n: int, bands: Bands) -> np.ndarray:
+def _dear_signatures(docs: DataFrame, text: str, n: int, bands: Bands, firsts: IdFilter) -> np.ndarray:
     """Segments that several documents of a bounded sample hold; they only steer costs.
 
     At most COST_SAMPLE documents on average, so the list is bounded too.
     """
     rate = min(1.0, COST_SAMPLE / max(docs.count(), 1))
     sample = docs.where(F.pmod(F.xxhash64("id"), F.lit(1 << 20)) < int(rate * (1 << 20)))
-    found = _signatures(sample, text, n, bands, np.zeros(0, np.uint64), index_only=True)
+    found = _signatures(sample, text, n, bands, np.zeros(0, np.uint64), firsts, index_only=True)
     rows = found.groupBy("sig").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= DEAR).select("sig").toArrow()
     return np.sort(rows.column("sig").to_numpy().view(np.uint64))
 
@@ -295,31 +335,44 @@ def sketches(tokens: np.ndarray, bounds: np.ndarray) -> np.ndarray:
 
 
 _SKETCH = [f"sketch{k}" for k in range(SKETCH_WORDS)]
+_SET = ["set0", "set1"]
 
 
 def set_sizes(docs: DataFrame, n: int, text: str = "text") -> DataFrame:
-    """(id, size, sketch) of the n-gram set of every row of ``docs`` (id, text)."""
-    names = ["id", "size", *_SKETCH]
+    """(id, size, sketch, hash) of the n-gram set of every row of ``docs`` (id, text)."""
+    names = ["id", "size", *_SKETCH, *_SET]
 
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in _slices(parts, text):
             tokens, bounds = ngram_sets(piece.column(1), n)
             drawn = [pa.array(c) for c in np.ascontiguousarray(sketches(tokens, bounds).T)]
-            yield pa.RecordBatch.from_arrays([piece.column(0), pa.array(np.diff(bounds)), *drawn], names)
+            sums = b"".join(hashlib.blake2b(tokens[a:b], digest_size=16).digest() for a, b in zip(bounds[:-1], bounds[1:]))
+            equal = [pa.array(c) for c in np.ascontiguousarray(np.frombuffer(sums, np.int64).reshape(-1, 2).T)]
+            yield pa.RecordBatch.from_arrays([piece.column(0), pa.array(np.diff(bounds)), *drawn, *equal], names)
 
     numbers = [F.lit(0).cast("long").alias(c) for c in names[1:]]
     return docs.select("id", text).mapInArrow(batches, docs.select("id", *numbers).schema)
 
 
-def _packed(docs: DataFrame, text: str) -> DataFrame:
-    """(id, packed): compressed texts, for a shuffle."""
+def _firsts(sets: DataFrame) -> DataFrame:
+    """(id, low) of every document that has n-grams; ``low`` is the smallest id of its set, null if it is alone."""
+    some = sets.where("id is not null and size > 0").select("id", *_SET)
+    shared = some.groupBy(*_SET).agg(F.min("id").alias("low"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
+    return saved(some.join(saved(shared, "shared"), _SET, "left").select("id", "low"), "firsts")
+
+
+def _packed(docs: DataFrame, text: str, wanted: IdFilter) -> DataFrame:
+    """(id, packed): compressed texts of the documents in ``wanted``, for a shuffle."""
+    words = wanted.words
+
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         press = zstandard.ZstdCompressor().compress
-        for piece in (x for part in parts for x in ta.slices(part, text)):
+        for piece in (x for part in _kept(parts, words) for x in ta.slices(part, text)):
             texts = pa.array([press((t or "").encode()) for t in piece.column(1).to_pylist()], pa.binary())
             yield pa.RecordBatch.from_arrays([piece.column(0), texts], ["id", "packed"])
 
-    return docs.select("id", text).mapInArrow(batches, docs.select("id", F.lit(b"").alias("packed")).schema)
+    return docs.select("id", text, wanted.place()).mapInArrow(
+        batches, docs.select("id", F.lit(b"").alias("packed")).schema)
 
 
 def _may_be_similar(percent: int):
@@ -342,8 +395,9 @@ def _verified(pairs: DataFrame, sizes: DataFrame, docs: DataFrame, n: int, perce
     Sketches rule out most of the others; texts travel only for what is left.
     """
     likely = saved(_beside(pairs, sizes).where(_may_be_similar(percent)).select("a", "b"), "likely")
-    wanted = likely.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    texts = saved(_packed(docs, text).join(wanted, "id"), "texts")
+    wanted = saved(likely.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "wanted")
+    texts = saved(_packed(docs, text, IdFilter(wanted)).join(wanted, "id"), "texts")
+    forget(wanted)
     both = _beside(likely, texts)
 
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -378,15 +432,20 @@ def linked_documents(
     bands = Bands(percent)
     docs = docs.select(F.col(doc_id).alias("id"), text)
     sizes = saved(set_sizes(docs, n, text), "sizes")
+    classes = _firsts(sizes)
+    copies = classes.where("id > low").select(F.col("id").alias("a"), F.col("low").alias("b"))
+    kept = classes.where("low is null or id = low").select("id")
+    sketched = saved(sizes.drop(*_SET).join(kept, "id", "left_semi"), "sketches")
     docs = docs.where(F.col("id").isNotNull())
     partitions = slots(docs.sparkSession)
-    dear = _dear_signatures(docs, text, n, bands)
-    met = saved(_meetings(_signatures(docs, text, n, bands, dear), partitions, percent), "meetings")
+    firsts = IdFilter(kept)
+    dear = _dear_signatures(docs, text, n, bands, firsts)
+    met = saved(_meetings(_signatures(docs, text, n, bands, dear, firsts), partitions, percent), "meetings")
 
     # Dealt by one id, pairs become distinct and meet its sketch in one shuffle.
     first = saved(met.where("id <> centre").select(F.col("id").alias("a"), F.col("centre").alias("b"))
                   .repartition(partitions, "a").distinct(), "pairs")
-    links = saved(_verified(first, sizes, docs, n, percent, text), "similar")
+    links = saved(_verified(first, sketched, docs, n, percent, text), "similar").unionByName(copies)
     nodes = components(links, "a", "b")
 
     # Where a bucket still holds several components, its pairs across them.
@@ -394,7 +453,7 @@ def linked_documents(
         "sig", "id", F.col("size_role").bitwiseAND(3).alias("role"), F.coalesce("component", "id").alias("component"))
     mixed = saved(place.groupBy("sig").agg(F.min("component").alias("c"), F.max("component").alias("d"))
                   .where("c <> d").select("sig"), "mixed")
-    open_rows = saved(place.join(mixed, "sig", "left_semi").join(sizes, "id"), "open")
+    open_rows = saved(place.join(mixed, "sig", "left_semi").join(sketched, "id"), "open")
     forget(met, mixed)
     a, b = (open_rows.select("sig", *[F.col(c).alias(f"{c}_{s}") for c in open_rows.columns if c != "sig"])
             for s in "ab")
@@ -409,7 +468,7 @@ def linked_documents(
     forget(open_rows, first)
     if second.isEmpty():
         return nodes, sizes
-    more = saved(_verified(second, sizes, docs, n, percent, text), "similar")
+    more = saved(_verified(second, sketched, docs, n, percent, text), "similar")
     return (nodes if more.isEmpty() else components(links.unionByName(more), "a", "b")), sizes
 
 

@@ -69,6 +69,35 @@ def test_hot_groups(spark, monkeypatch):
     assert got(docs, 4, 85) == want(rows, 4, 85)
 
 
+def test_equal_sets_meet_once(spark, monkeypatch):
+    """Two large groups of copies that share many words: pairs are of sets, not of documents."""
+    seen, verified = [], ngram_join._verified
+
+    def noted(pairs, *others):
+        seen.append(pairs.count())
+        return verified(pairs, *others)
+
+    monkeypatch.setattr(ngram_join, "_verified", noted)
+    shared = " ".join(f"p{k}" for k in range(100))
+    kinds = [shared + "".join(f" {x}{k}" for k in range(8)) for x in "abc"]
+    rows = [(k, kinds[k % 3].upper() if k % 2 else kinds[k % 3]) for k in range(120)] + [(1, kinds[0]), (200, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    for percent in (85, 87):
+        assert got(docs, 4, percent) == want(rows, 4, percent)
+    assert sum(seen) <= 8
+
+
+def test_id_filter(spark):
+    ids = spark.range(0, 3000, 3)
+    kept = ngram_join.IdFilter(ids)
+    words = kept.words
+    held = spark.range(3000).select("id", kept.place()).mapInArrow(
+        lambda parts: ngram_join._kept(parts, words), "id long, place long")
+    found = {r.id for r in held.collect()}
+    assert found >= set(range(0, 3000, 3)) and len(found) < 1300
+    assert not ngram_join.IdFilter(ids.limit(0)).words.value.any()
+
+
 def test_odd_rows(odd_docs, no_docs):
     rows = [(r.doc_id, r.text) for r in odd_docs.collect()]
     assert got(odd_docs, 4, 85) == want(rows, 4, 85)

@@ -29,9 +29,11 @@ from pyspark.sql import types as T
 CHUNK_BYTES = 4_000_000
 # Units in one string, and which go there: a space, then nothing that any table counts as white space.
 JOINED = 500
+# Texts that go to the library in one call.
+ENCODED_AT_ONCE = 16
 _ONE_SPACE = re.compile(r" [^\s\x00-\x20\x7f-\xa0\u1680\u180e\u2000-\u200f\u2028-\u202f\u205f-\u2060\u3000\ufeff]+").fullmatch
 # Units that a worker remembers between batches.
-KNOWN_UNITS = 250_000
+KNOWN_UNITS = 100_000
 
 
 def byte_characters() -> list[str]:
@@ -132,9 +134,14 @@ class UnitEncoder:
         self._bounds = np.zeros(1, np.int64)
 
     def _run(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        found = [e.ids for e in self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-        sizes = np.fromiter(map(len, found), np.int64, len(found))
-        return np.fromiter(itertools.chain.from_iterable(found), np.int32, int(sizes.sum())), sizes
+        ids, sizes = [np.zeros(0, np.int32)], [np.zeros(0, np.int64)]
+        # The library's results are far larger than the ids, so they are held for a few texts only.
+        for k in range(0, len(texts), ENCODED_AT_ONCE):
+            some = texts[k:k + ENCODED_AT_ONCE]
+            found = [e.ids for e in self._tokenizer.encode_batch_fast(some, add_special_tokens=False)]
+            sizes.append(np.fromiter(map(len, found), np.int64, len(found)))
+            ids.append(np.fromiter(itertools.chain.from_iterable(found), np.int32, int(sizes[-1].sum())))
+        return np.concatenate(ids), np.concatenate(sizes)
 
     def _encoded(self, units: list[str]) -> list[str]:
         """Appends the ids of ``units`` and returns these in the order of their places."""

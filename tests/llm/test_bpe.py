@@ -34,6 +34,22 @@ def test_a_full_memory_changes_nothing(monkeypatch, reference):
         assert run(pa.array([text]))[0].tolist() == reference.encode_ordinary(text)
 
 
+def test_the_library_gets_few_texts_at_once(reference):
+    tokenizer, most = bpe.rank_tokenizer(RANKS, P.PATTERN), []
+
+    class Noted:
+        get_vocab = tokenizer.get_vocab
+
+        def encode_batch_fast(self, texts, **options):
+            most.append(len(texts))
+            return tokenizer.encode_batch_fast(texts, **options)
+
+    texts = [f"word{k} and\u2003more\t{k}" for k in range(100)]
+    ids, bounds = bpe.UnitEncoder(Noted())(pa.array(texts))
+    assert max(most) <= bpe.ENCODED_AT_ONCE
+    assert [ids[a:b].tolist() for a, b in zip(bounds, bounds[1:])] == [reference.encode_ordinary(t) for t in texts]
+
+
 def test_file_tokenizer_takes_special_tokens_as_text():
     tokenizer = bpe.file_tokenizer(P.path("byte_bpe_50k.json"))
     texts = ["<|endoftext|> a", "x<|endoftext|>"]

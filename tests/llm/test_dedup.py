@@ -145,6 +145,24 @@ def test_suffixes_of_hot_grams(spark, monkeypatch, length, gram, alphabet, most)
     test_suffixes(spark, monkeypatch, length, gram, alphabet)
 
 
+def test_gram_buckets_are_small_and_few_share_a_task(spark, monkeypatch):
+    """A bucket's grams are held by one task; none gets many of them, whatever their number."""
+    seen, repeated = [], suffix_dedup._repeated_grams
+
+    def noted(rows, buckets, slices):
+        seen.append(buckets)
+        return repeated(rows, buckets, slices)
+
+    monkeypatch.setattr(suffix_dedup, "_repeated_grams", noted)
+    monkeypatch.setattr(suffix_dedup, "MAX_BUCKETS", 7)
+    monkeypatch.setattr(suffix_dedup, "BYTES_PER_BUCKET", 100)
+    passage = "a passage that two of the documents hold, and no other one does. "
+    rows = [(k, f"{k} only here " * 5 + (passage if k in (3, 8) else "")) for k in range(20)]
+    found = {r.doc_id: r.n_removed for r in suffix_dedup.drop_repeated(
+        spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert seen == [7] and found[8] >= len(passage) and found[3] == 0
+
+
 def test_one_gram_in_thousands_of_contexts(spark, monkeypatch):
     monkeypatch.setattr(suffix_dedup, "SUFFIXES_PER_GRAM", 100, raising=False)
     monkeypatch.setattr(suffix_dedup, "PACKED_SLICE_BYTES", 20_000)

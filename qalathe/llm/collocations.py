@@ -11,7 +11,10 @@ The windows that pass the bitmaps are then counted as texts, exactly, in one pas
 task counts the windows of some texts by phrase (vectorised) and gathers those counts in a HAT-trie of
 Arrow containers: a shallow level deals phrases by the hash of their first word into
 ``FANOUT`` containers, a container that grows past ``BURST`` rows bursts (is merged by phrase),
-and when the task holds more than ``SPILL`` rows, all containers leave as sorted runs. Spark
+and when the task holds more than ``SPILL`` rows, all containers are merged; if still half as many
+distinct phrases are left, they leave as sorted runs. A task sends each of its phrases once, so
+this pass has ``TASKS_PER_CORE`` tasks a core and no more for a larger table: what is sent grows with
+the phrases, not with phrases times tasks. Spark
 merges the runs by phrase with map-side combining, so a frequent first word is no hot key. A false
 hit in a bitmap costs a counted phrase, never a missed one. The documents are read once for each pass.
 
@@ -46,6 +49,8 @@ TOP = 2000
 FANOUT = 256
 BURST = 200_000
 SPILL = 2_000_000
+# Counting tasks for each core.
+TASKS_PER_CORE = 2
 MIN_BITS, MAX_BITS = 1 << 16, 1 << 28
 # Bytes of text for one bucket of a sketch, buckets of a range, windows hashed or counted at once.
 BUCKET_BYTES = 16
@@ -112,7 +117,8 @@ class HatCounter:
     The shallow trie level deals phrases by the hash of their first word into ``FANOUT``
     containers. A container collects counted rows; past ``BURST`` rows it bursts, that is, it
     is merged by (part, phrase) into one table. Past ``SPILL`` rows in all containers, every
-    container leaves as a run sorted by (part, phrase) and the trie starts empty.
+    container is merged; if more than half of ``SPILL`` are left, each leaves as a run sorted by
+    (part, phrase) and the trie starts empty.
     """
 
     def __init__(self, m: int) -> None:
@@ -134,12 +140,18 @@ class HatCounter:
                 self.rows[k] = self.containers[k][0].num_rows
 
     def runs(self, everything: bool) -> Iterator[pa.Table]:
-        """All containers as sorted runs, once more than ``SPILL`` rows are held or at the end."""
+        """All containers as sorted runs, once too many distinct rows are held or at the end."""
         if not everything and self.rows.sum() <= SPILL:
             return
         for k in range(FANOUT):
             if self.containers[k]:
-                yield _merged(self.containers[k]).sort_by([("part", "ascending"), ("phrase", "ascending")])
+                self.containers[k] = [_merged(self.containers[k])]
+                self.rows[k] = self.containers[k][0].num_rows
+        if not everything and self.rows.sum() <= SPILL // 2:
+            return
+        for k in range(FANOUT):
+            if self.containers[k]:
+                yield self.containers[k][0].sort_by([("part", "ascending"), ("phrase", "ascending")])
         self.containers = [[] for _ in range(FANOUT)]
         self.rows[:] = 0
 
@@ -274,7 +286,7 @@ def phrase_counts(docs: DataFrame, text: str = "text", part: str = "lang", min_c
     for m in range(1, MAX_WORDS + 1):
         bitmaps.append(spark.sparkContext.broadcast(_bitmap(table, m, bitmaps, bits, min_count)))
     counts = saved(
-        table.mapInArrow(count_phrases(bitmaps), _RUN).groupBy("part", "phrase").agg(F.sum("f").cast("long").alias("f"))
+        table.coalesce(TASKS_PER_CORE * spark.sparkContext.defaultParallelism).mapInArrow(count_phrases(bitmaps), _RUN).groupBy("part", "phrase").agg(F.sum("f").cast("long").alias("f"))
         .where(F.col("phrase").isNull() | (F.col("f") >= min_count)), "phrases")
     for bitmap in bitmaps:
         bitmap.unpersist()

@@ -77,6 +77,43 @@ def test_hat_trie_bursts_and_spills(spark, monkeypatch):
     assert list(counter.runs(True)) == []
 
 
+def test_a_full_trie_is_merged_before_it_leaves(monkeypatch):
+    import numpy as np
+    import pyarrow as pa
+
+    monkeypatch.setattr(collocations, "SPILL", 10)
+    counter, left = collocations.HatCounter(2), []
+    for k in range(20):
+        counter.add(pa.table({"part": ["en"] * 3, "phrase": ["a b", "b c", "c d"], "f": [1, 2, 3]}),
+                    np.array([1, 2, 3], dtype=np.uint64))
+        left += counter.runs(False)
+    assert left == [] and counter.rows.sum() <= 10
+    got = {run.column("phrase")[0].as_py(): run.column("f").to_pylist() for run in counter.runs(True)}
+    assert got == {"a b": [20], "b c": [40], "c d": [60]}
+
+
+def test_phrases_leave_once_a_counting_task(spark, monkeypatch):
+    """The number of counting tasks follows the cores, not the partitions of the table."""
+    sent, count = spark.sparkContext.accumulator(0), collocations.count_phrases
+
+    def noted(bitmaps):
+        run = count(bitmaps)
+
+        def counted(batches):
+            for batch in run(batches):
+                sent.add(batch.num_rows - batch.column(1).null_count)
+                yield batch
+        return counted
+
+    monkeypatch.setattr(collocations, "count_phrases", noted)
+    tasks = collocations.TASKS_PER_CORE * spark.sparkContext.defaultParallelism
+    rows = [("one two", "en")] * (16 * tasks)
+    docs = spark.createDataFrame(rows, "text string, lang string").repartition(4 * tasks)
+    frequent, _ = collocations.phrase_counts(docs, min_count=5)
+    assert {r.phrase: r.f for r in frequent.collect()} == dict.fromkeys(["one", "two", "one two"], len(rows))
+    assert 0 < sent.value <= 3 * tasks
+
+
 def test_long_text_and_empty_table(spark):
     long = [(" ".join(f"w{k % 7} w{k % 5}" for k in range(20000)), "en")]
     assert _rows(spark, long, 100, 2000) == brute(long, 100, 2000)

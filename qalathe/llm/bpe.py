@@ -25,8 +25,12 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from .work import lean
+
 # Bytes of text that are encoded at once; a longer text is a batch of its own.
-CHUNK_BYTES = 4_000_000
+CHUNK_BYTES = 2_000_000
+# Units whose ids are looked up at once.
+PLACED_AT_ONCE = 100_000
 # Units in one string, and which go there: a space, then nothing that any table counts as white space.
 JOINED = 500
 # Texts that go to the library in one call.
@@ -169,6 +173,17 @@ class UnitEncoder:
             self._bounds = self._bounds[:keep + 1]
             self._ids = self._ids[:self._bounds[-1]]
 
+    def _placed(self, number: np.ndarray, sizes: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """The ids of the units in a row; the places they come from are held for a few units only."""
+        out = np.empty(int(ends[-1]), np.int32)
+        for k in range(0, len(number), PLACED_AT_ONCE):
+            here = slice(k, k + PLACED_AT_ONCE)
+            n, base = sizes[here], int(ends[k] - sizes[k])
+            stop = int(ends[here][-1])
+            at = np.repeat(self._bounds[number[here]] - (ends[here] - n), n) + np.arange(base, stop)
+            out[base:stop] = self._ids[at]
+        return out
+
     def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in a row, and the bounds of each text in them."""
         if not len(texts):
@@ -200,7 +215,7 @@ class UnitEncoder:
                 number[first[text]] = base + k
         sizes = (self._bounds[number + 1] - self._bounds[number]) * used
         ends = np.cumsum(sizes)
-        ids = self._ids[np.repeat(self._bounds[number] - (ends - sizes), sizes) + np.arange(int(ends[-1]))]
+        ids = self._placed(number, sizes, ends)
         self._forget()
         return ids, np.concatenate([[0], ends[last]])
 
@@ -236,7 +251,7 @@ def encode(docs: DataFrame, path: str, pattern: str, text: str = "text", offsets
     base = docs.drop(*names)
 
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in itertools.chain.from_iterable(chunks(p, text) for p in parts):
+        for part in itertools.chain.from_iterable(chunks(p, text) for p in lean(parts)):
             if offsets:
                 found = rank_tokenizer(path, pattern).encode_batch(
                     [t or "" for t in part.column(text).to_pylist()], add_special_tokens=False)
@@ -275,7 +290,7 @@ def round_trip(docs: DataFrame, path: str, pattern: str, text: str = "text", doc
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table, run = byte_table(path), unit_encoder(rank_tokenizer, path, pattern)
         decimal = [b"%d" % k for k in range(len(table))]
-        for part in itertools.chain.from_iterable(chunks(p, text) for p in parts):
+        for part in itertools.chain.from_iterable(chunks(p, text) for p in lean(parts)):
             ids, bounds = run(part.column(text))
             ids, bounds = ids.tolist(), bounds.tolist()
             rows = [ids[a:b] for a, b in zip(bounds, bounds[1:])]

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import bpe
-from .work import saved
+from .work import lean, saved
 
 CAPACITY = 1024
 
@@ -140,7 +140,7 @@ def cut_pieces(
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         run, task = bpe.unit_encoder(bpe.file_tokenizer, path), TaskContext.get().partitionId()
         seen = np.zeros(capacity + 1, np.int64)
-        for part in itertools.chain.from_iterable(bpe.chunks(p, text) for p in parts):
+        for part in itertools.chain.from_iterable(bpe.chunks(p, text) for p in lean(parts)):
             ids, bounds = run(part.column(text))
             # The end token behind each text.
             ids, bounds = np.insert(ids, bounds[1:], end_id).astype("<u4"), bounds + np.arange(len(bounds))
@@ -189,16 +189,17 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
         .drop("__task", "__nth", "__before").select(*[c for c in pieces.columns if c[:2] != "__"], "__rank")
     )
 
-    def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in parts:
-            length, rank = (part.column(c).to_numpy() for c in ("length", "__rank"))
-            slot = np.searchsorted(keys, (length << 48) + rank, "right") - 1
-            found = [pa.array(base[slot] + rank - since[slot]), pa.array(offset[slot])]
-            kept = part.drop_columns(["__rank"])
-            yield pa.RecordBatch.from_arrays([*kept.columns, *found], [*kept.schema.names, "sequence_id", "offset"])
-
-    schema = ranked.drop("__rank").schema.add("sequence_id", "long").add("offset", "long")
-    return ranked.mapInArrow(batches, schema)
+    # A function of two numbers, so that the ids of the pieces stay out of the Python workers.
+    @F.arrow_udf("struct<sequence_id: long, offset: long>")
+    def place(length: pa.Array, rank: pa.Array) -> pa.Array:
+        length, rank = length.to_numpy(), rank.to_numpy()
+        slot = np.searchsorted(keys, (length << 48) + rank, "right") - 1
+        found = [pa.array(base[slot] + rank - since[slot]), pa.array(offset[slot])]
+        return pa.StructArray.from_arrays(found, ["sequence_id", "offset"])
+
+    names = ranked.drop("__rank").columns
+    return ranked.select(*names, place("length", "__rank").alias("__place")).select(
+        *names, "__place.sequence_id", "__place.offset")
 
 
 def packed_documents(

@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import tracemalloc
 
 import pyarrow as pa
 import public_tokenizers as P
@@ -79,3 +80,17 @@ def test_offsets_and_decoding(spark):
     assert len(row.ids) == len(row.starts) == len(row.ends)
     plain = bpe.encode(docs.withColumnRenamed("doc_id", "ids"), RANKS, P.PATTERN).head()
     assert list(plain.ids) == list(row.ids)
+
+
+def test_encoder_holds_the_places_of_few_ids():
+    run = bpe.UnitEncoder(bpe.file_tokenizer(P.path("byte_bpe_50k.json")))
+    texts = pa.array([" a" * 400_000])
+    want = run(texts)[0].copy()
+    tracemalloc.start()
+    try:
+        ids, _ = run(texts)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert (ids == want).all() and len(ids) == 400_000
+    assert peak < 46 * len(ids)

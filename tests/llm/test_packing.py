@@ -74,3 +74,11 @@ def test_sequences_hold_their_pieces(given):
     rows = packing.sequences(packed).collect()
     assert sum(len(r.ids) for r in rows) == sum(r.length for r in packed.collect())
     assert all(len(r.ids) <= 128 for r in rows)
+
+
+def test_ids_of_pieces_stay_out_of_the_python_workers(spark, odd_docs):
+    packed = packing.packed_documents(odd_docs, PATH, end_id=2)
+    plan = packed._jdf.queryExecution().optimizedPlan().toString()
+    assert "MapInArrow" not in plan and plan.count("ArrowEvalPython") == 1
+    assert packed.where("size(ids) != length or offset + length > 1024 or sequence_id is null").count() == 0
+    assert packed.groupBy("sequence_id", "offset").count().where("count > 1").count() == 0
